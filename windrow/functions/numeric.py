@@ -60,25 +60,23 @@ def normal_quantile(p: Column) -> Column:
             .otherwise(centre))
 
 
-def poisson_quantile(mean: Column, u: Column) -> Column:
+def poisson_cdf(mean: Column) -> Column:
+    """P(Poisson(mean) <= k) for k = 0, 1, ...; null for a mean that is not summed exactly."""
+    log_factorial = F.array(*[F.lit(math.lgamma(k + 1)) for k in range(POISSON_EXACT_STEPS + 1)])
+    log_mean = F.ln(mean)
+    each = F.transform(log_factorial, lambda lf, k: F.exp(k * log_mean - mean - lf))
+    summed = F.aggregate(each, F.array().cast("array<double>"), lambda done, p: F.concat(
+        done, F.array(p + F.coalesce(F.try_element_at(done, F.lit(-1)), F.lit(0.0)))))
+    return F.when((mean > 0) & (mean <= POISSON_EXACT_MEAN), summed)
+
+
+def poisson_quantile(mean: Column, u: Column, cdf: Column) -> Column:
     """Smallest k with P(Poisson(mean) <= k) >= u, as a bigint.
 
-    Up to a mean of ``POISSON_EXACT_MEAN`` the probabilities are added up; beyond that the
-    normal quantile with its skewness terms is used, which is within one unit.
+    ``cdf`` is :func:`poisson_cdf` of the mean, computed once for many draws. Where it is null
+    the normal quantile with its skewness terms is used, which is within one unit.
     """
-    log_factorial = F.array(*[F.lit(math.lgamma(k + 1)) for k in range(POISSON_EXACT_STEPS + 1)])
-    log_mean = F.ln(mean)
-    summed = F.aggregate(
-        log_factorial,
-        F.struct(F.lit(0).alias("k"), F.lit(0.0).alias("cdf"), F.lit(0).alias("below")),
-        lambda acc, lf: F.struct(
-            (acc["k"] + 1).alias("k"),
-            (acc["cdf"] + F.exp(acc["k"] * log_mean - mean - lf)).alias("cdf"),
-            (acc["below"] + F.when(
-                acc["cdf"] + F.exp(acc["k"] * log_mean - mean - lf) < u, 1).otherwise(0)
-             ).alias("below"),
-        ),
-    )["below"]
+    summed = F.size(F.filter(cdf, lambda p: p < u))
     z = normal_quantile(u)
     expanded = F.floor(mean + z * F.sqrt(mean) + (z * z - 1) / F.lit(6.0)
                        + (z - z * z * z) / (F.lit(72.0) * F.sqrt(mean)) + F.lit(0.5))

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from windrow.functions.hashing import hash_fraction
 
-LABEL, FEATURES, FOLD = "label", "features", "fold"
+LABEL, FEATURES, FOLD = "label_index", "feature_vector", "fold"
 
 
 def preparation(columns: Sequence[str], target: str, invalid: str = "keep",
@@ -32,10 +32,10 @@ def preparation(columns: Sequence[str], target: str, invalid: str = "keep",
     index = StringIndexer(inputCol=target, outputCol=LABEL, handleInvalid="keep",
                           stringOrderType="frequencyDesc")
     gather = VectorAssembler(inputCols=list(columns), handleInvalid=invalid,
-                             outputCol="raw_features" if scale else FEATURES)
+                             outputCol="raw_vector" if scale else FEATURES)
     if not scale:
         return [index, gather]
-    return [index, gather, StandardScaler(inputCol="raw_features", outputCol=FEATURES,
+    return [index, gather, StandardScaler(inputCol="raw_vector", outputCol=FEATURES,
                                           withMean=True, withStd=True)]
 
 

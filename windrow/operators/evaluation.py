@@ -6,6 +6,8 @@ classes. All metrics are computed from those cells, whatever the number of predi
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,22 +24,28 @@ def confusion_cells(predictions: DataFrame, label: str = "label",
 
 def classes_seen(cells: DataFrame) -> DataFrame:
     """Classes that occur as truth or as prediction."""
-    return (cells.select(F.col("label").alias("class"))
-            .union(cells.select(F.col("prediction").alias("class"))).distinct())
+    return cells.select(F.explode(F.array("label", "prediction")).alias("class")).distinct()
 
 
 def per_class(cells: DataFrame) -> DataFrame:
     """Per class: support (rows of the class), predicted (rows given to it), hits."""
-    as_label = cells.select(
-        F.col("label").alias("class"), F.col("n").alias("support"), F.lit(0).alias("predicted"),
-        F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0).alias("hits"))
-    as_prediction = cells.select(
-        F.col("prediction").alias("class"), F.lit(0).alias("support"),
-        F.col("n").alias("predicted"), F.lit(0).alias("hits"))
-    return as_label.unionByName(as_prediction).groupBy("class").agg(
+    return by_class(cells).groupBy("class").agg(
         *[F.sum(c).cast("bigint").alias(c) for c in ("support", "predicted", "hits")])
 
 
+def by_class(cells: DataFrame, also: Sequence[str] = ()) -> DataFrame:
+    """Each cell once for its label and once for its prediction."""
+    hits = F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0)
+    none = F.lit(0).cast("bigint")
+
+    def counted(name: str, support: Column, predicted: Column, right: Column) -> Column:
+        return F.struct(F.col(name).alias("class"), support.alias("support"),
+                        predicted.alias("predicted"), right.cast("bigint").alias("hits"))
+
+    return cells.select(*also, F.inline(F.array(
+        counted("label", F.col("n"), none, hits), counted("prediction", none, F.col("n"), none))))
+
+
 def confusion_matrix(cells: DataFrame) -> DataFrame:
     """Every pair of classes seen, with its count and its share of the label's rows.
 

@@ -43,9 +43,9 @@ def slice_of(df: DataFrame, column: str, cuts: Sequence[float], name: str) -> Da
     if not cuts:
         return df.withColumn(name, F.lit(0))
     splits = [-math.inf, *cuts, math.inf]
-    number = Bucketizer(splits=splits, inputCol=column, outputCol="_slice",
+    number = Bucketizer(splits=splits, inputCol=column, outputCol="_bucket",
                         handleInvalid="keep").transform(df)
-    return number.withColumn(name, F.coalesce(F.col("_slice"), F.lit(0)).cast("int")).drop("_slice")
+    return number.withColumn(name, F.coalesce(F.col("_bucket"), F.lit(0)).cast("int")).drop("_bucket")
 
 
 def running_sums(df: DataFrame, groups: Sequence[str], order: Sequence[Column],

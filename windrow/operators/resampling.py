@@ -13,33 +13,38 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from windrow.functions.hashing import hash_fraction
-from windrow.functions.numeric import poisson_quantile, ratio_or_zero
-from windrow.operators.evaluation import overall_metrics
+from windrow.functions.numeric import poisson_cdf, poisson_quantile, ratio_or_zero
+from windrow.operators.evaluation import by_class, overall_metrics
 from windrow.operators.quality import wide_to_rows
 
+BLOCKS = 32
 METRICS = ("accuracy", "f1_weighted")
 
 
 def replicate_cells(cells: DataFrame, replicates: int = 1000, seed: int = 42) -> DataFrame:
-    """(replicate, label, prediction, n) with drawn counts."""
-    numbered = cells.select("*", F.explode(F.sequence(F.lit(1), F.lit(replicates)))
-                            .alias("replicate"))
+    """(replicate, label, prediction, n) with drawn counts.
+
+    The cells, with their distribution, go once to each of a few blocks of replicates.
+    """
+    size = -(-replicates // BLOCKS)
+    mean = F.col("n").cast("double")
+    blocks = cells.select(
+        "label", "prediction", mean.alias("mean"), poisson_cdf(mean).alias("cdf"),
+        F.explode(F.sequence(F.lit(1), F.lit(replicates), F.lit(size))).alias("first"))
+    last = F.least(F.col("first") + size - 1, F.lit(replicates))
+    numbered = blocks.repartition("first", "label", "prediction").select(
+        "label", "prediction", "mean", "cdf",
+        F.explode(F.sequence("first", last)).alias("replicate"))
     drawn = F.least(F.greatest(hash_fraction("label", "prediction", "replicate", seed=seed),
                                F.lit(1e-10)), F.lit(1 - 1e-10))
-    return numbered.select("replicate", "label", "prediction",
-                           poisson_quantile(F.col("n").cast("double"), drawn).alias("n"))
+    return numbered.withColumn("u", drawn).select(
+        "replicate", "label", "prediction",
+        poisson_quantile(F.col("mean"), F.col("u"), F.col("cdf")).alias("n"))
 
 
 def replicate_metrics(drawn: DataFrame) -> DataFrame:
     """Accuracy and weighted F1 of every replicate."""
-    as_label = drawn.select(
-        "replicate", F.col("label").alias("class"), F.col("n").alias("support"),
-        F.lit(0).alias("predicted"),
-        F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0).alias("hits"))
-    as_prediction = drawn.select(
-        "replicate", F.col("prediction").alias("class"), F.lit(0).alias("support"),
-        F.col("n").alias("predicted"), F.lit(0).alias("hits"))
-    classes = as_label.unionByName(as_prediction).groupBy("replicate", "class").agg(
+    classes = by_class(drawn, ["replicate"]).groupBy("replicate", "class").agg(
         *[F.sum(c).alias(c) for c in ("support", "predicted", "hits")])
     f1 = ratio_or_zero(2 * F.col("hits"), F.col("predicted") + F.col("support"))
     n = F.sum("support")
