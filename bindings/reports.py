@@ -148,21 +148,22 @@ _COMPARED = ", ".join(f"{near_sql(m, 4)} AS {m}" for m in ("accuracy", "f1_weigh
 
 @query(f"""
 WITH d AS (SELECT CASE WHEN n_regionkey = 0 THEN 'cuda' ELSE 'cpu' END AS device,
-                  max(n_nationkey)::DOUBLE AS gpu_memory_mb FROM nation WHERE n_regionkey = 0 GROUP BY 1)
+                  max(n_nationkey)::DOUBLE AS gpu_memory_mb FROM nation GROUP BY 1)
 SELECT model, 'CPU' AS hardware, {_COMPARED}, NULL::DOUBLE AS f1_macro, NULL::DOUBLE AS gpu_memory_mb,
        'tables' AS source FROM {rule_sql(1, 'first ten')}
 UNION ALL
 SELECT model, 'CUDA device', {_COMPARED}, {near_sql('f1_macro', 4)}, (SELECT gpu_memory_mb FROM d
        WHERE device = 'cuda'), 'sequences' FROM {rule_sql(11, 'second ten')}
 UNION ALL
-SELECT model, 'CPU', {_COMPARED}, {near_sql('f1_macro', 4)}, NULL, 'sequences' FROM {rule_sql(21, 'third ten')}
+SELECT model, 'CPU', {_COMPARED}, {near_sql('f1_macro', 4)}, (SELECT gpu_memory_mb FROM d
+       WHERE device = 'cpu'), 'sequences' FROM {rule_sql(21, 'third ten')}
 """)
 def unified_comparison(spark, folder):
     tables = rule_results(spark, folder, 1, "first ten", hardware="CPU").drop("f1_macro")
     sequences = rule_results(spark, folder, 11, "second ten", hardware="CUDA device").unionByName(
         rule_results(spark, folder, 21, "third ten", hardware="CPU"))
-    devices = table(spark, folder, "nation").filter(F.col("n_regionkey") == 0).groupBy(
-        F.lit("cuda").alias("device")).agg(
+    device = F.when(F.col("n_regionkey") == 0, "cuda").otherwise("cpu")
+    devices = table(spark, folder, "nation").groupBy(device.alias("device")).agg(
         F.max("n_nationkey").cast("double").alias("gpu_memory_mb"))
     made = reports.unified_comparison({
         "tables": reports.scored(tables),

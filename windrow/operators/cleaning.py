@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from windrow.functions.missing import floating, nan_to
+from windrow.functions.missing import floating, nan_to, present
 from windrow.operators.joins import attach, is_small
 from windrow.operators.ordering import dense_index
 
@@ -32,7 +33,10 @@ def drop_label(df: DataFrame, label: str, value) -> DataFrame:
 
 
 def drop_all_missing(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Drop rows with no reading in any of ``columns`` (null or NaN)."""
+    """Drop rows with no reading in any of ``columns`` (null or NaN).
+
+    Apply it to stored columns, before they are recomputed (see :func:`drop_incomplete`).
+    """
     return df.na.drop(how="all", subset=list(columns))
 
 
@@ -53,8 +57,15 @@ def nan_to_zero(df: DataFrame, columns: Iterable[str] | None = None) -> DataFram
 
 
 def drop_incomplete(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Drop rows with a null or NaN in any of ``columns`` (all columns by default)."""
-    return df.na.drop(subset=None if columns is None else list(columns))
+    """Drop rows with a null or NaN in any of ``columns`` (all columns by default).
+
+    One condition per column: the optimiser copies a condition for every computed column in it,
+    which a single condition over many computed columns would multiply up.
+    """
+    names = list(df.columns if columns is None else columns)
+    numbers = set(floating(df, names))
+    return df.filter(reduce(Column.__and__, [
+        present(F.col(c)) if c in numbers else F.col(c).isNotNull() for c in names]))
 
 
 def fill_missing(df: DataFrame, columns: Sequence[str], value: float = 0.0) -> DataFrame:

@@ -81,7 +81,7 @@ def clean_layer(raw: DataFrame, names: DataFrame | None = None, layout: Layout =
     kept = cleaning.drop_label(raw, layout.label, layout.filler_label)
     kept = cleaning.drop_family(kept, layout.dropped_family)
     sensors = [c for c in measure_columns(kept, layout.metadata) if c not in layout.sparse]
-    kept = cleaning.drop_all_missing(nullify_nan(kept), sensors)
+    kept = nullify_nan(cleaning.drop_all_missing(kept, sensors))
     if names is None:
         return kept
     return cleaning.lookup(kept, names.select(layout.label, layout.label_name), layout.label)
