@@ -55,7 +55,7 @@ def test_suite_ranks_models_and_keeps_the_best(spark, separable, tmp_path):
 
 def test_the_grid_reaches_the_classifier_inside_one_vs_rest(separable):
     cv = training.cross_validator(training.linear_svm(grid=(0.0, 50.0), iterations=5), COLUMNS, "kind",
-                                  3, folds=2, fold_column=None)
+                                  3, folds=2)
     fitted = cv.getEstimator().fit(separable, cv.getEstimatorParamMaps())
     norms = [m.stages[-1].models[0].coefficients.norm(2) for m in fitted]
     assert norms[0] > 2 * norms[1]
