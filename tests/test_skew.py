@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from windrow.operators import imputation, joins, roc
+from windrow.operators import imputation, joins, ordering, roc
 from windrow.operators.ordering import cut_points, slice_of
 from windrow.series import SeriesKey
 
@@ -39,6 +39,22 @@ def test_fill_of_a_hot_series(skewed):
     assert whole.exceptAll(cut).count() == 0 and cut.count() == N
 
 
+def test_fill_of_a_hot_series_without_a_key(skewed):
+    series = SeriesKey("key", "t", "id")
+    keyless = skewed.withColumn("key", F.when(F.col("key") != 0, F.col("key")))
+    whole = imputation.bounded_fill(keyless, series, ["x"], 4)
+    cut = imputation.bounded_fill(keyless, series, ["x"], 4, rows_per_slice=300)
+    assert whole.exceptAll(cut).count() == 0 and cut.count() == N
+
+
+def test_cuts_from_a_sample_still_give_even_slices(skewed, monkeypatch):
+    monkeypatch.setattr(ordering, "SAMPLE_PER_SLICE", 100)
+    df = skewed.withColumn("d", F.col("t").cast("double"))
+    cuts, _ = cut_points(df, "d", 1000)
+    sizes = [r["count"] for r in slice_of(df, "d", cuts, "s").groupBy("s").count().collect()]
+    assert len(cuts) == 5 and sum(sizes) == N and max(sizes) < 2000
+
+
 def test_hot_rows_are_spread(skewed):
     table = skewed.groupBy("key").agg(F.min("t").alias("t0"))
     joined = joins.spread_join(skewed, table, ["key"], "left", ["id"])

@@ -57,13 +57,14 @@ def _filled(names: Sequence[str], columns: Sequence[str], directions: Sequence[s
 def _fill_in_pieces(timed: DataFrame, series: SeriesKey, columns: Sequence[str], limit: int,
                     directions: Sequence[str], cuts: Sequence[float], slice_rows: int
                     ) -> DataFrame:
-    keys = list(series.keys)
-    piece = [*keys, "_piece"]
+    # a struct of the keys joins and partitions like a key, and equals itself where one is null
+    timed = timed.withColumn("_series", F.struct(*series.keys))
+    piece = ["_series", "_piece"]
     # fewer series than there are slices can be longer than a slice
-    long_series = (timed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-                   .filter(F.col("_n") > slice_rows).select(*keys, F.lit(True).alias("_long")))
+    long_series = (timed.groupBy("_series").agg(F.count(F.lit(1)).alias("_n"))
+                   .filter(F.col("_n") > slice_rows).select("_series", F.lit(True).alias("_long")))
     sliced = slice_of(timed, "_us", cuts, "_slice")
-    pieces = sliced.join(F.broadcast(long_series), keys, "left").withColumn(
+    pieces = sliced.join(F.broadcast(long_series), "_series", "left").withColumn(
         "_piece", F.when(F.col("_long"), F.col("_slice")).otherwise(F.lit(0)))
 
     in_piece = Window.partitionBy(*piece).orderBy(*series.order())
@@ -73,7 +74,7 @@ def _fill_in_pieces(timed: DataFrame, series: SeriesKey, columns: Sequence[str],
         *[before[c].alias(f"_before_{c}") for c in columns],
         *[after[c].alias(f"_after_{c}") for c in columns])
 
-    edges = _edges(pieces.filter(F.col("_long")), series, columns, in_piece)
+    edges = _edges(pieces.filter(F.col("_long")), columns, in_piece)
     joined = local.join(edges, piece, "left")
     position = F.col("_start") + F.col("_row")
 
@@ -88,10 +89,9 @@ def _fill_in_pieces(timed: DataFrame, series: SeriesKey, columns: Sequence[str],
     return joined.select(*_filled(timed.columns, columns, directions, full_before, full_after))
 
 
-def _edges(pieces: DataFrame, series: SeriesKey, columns: Sequence[str], in_piece) -> DataFrame:
+def _edges(pieces: DataFrame, columns: Sequence[str], in_piece) -> DataFrame:
     """Per piece of a long series: its start, and the nearest readings outside of it."""
-    keys = list(series.keys)
-    piece = [*keys, "_piece"]
+    piece = ["_series", "_piece"]
     numbered = pieces.select(*piece, *columns, F.row_number().over(in_piece).alias("_row"))
 
     def reading(c: str) -> Column:
@@ -102,7 +102,7 @@ def _edges(pieces: DataFrame, series: SeriesKey, columns: Sequence[str], in_piec
         F.count(F.lit(1)).alias("_n"),
         *[F.min(reading(c)).alias(f"_first_{c}") for c in columns],
         *[F.max(reading(c)).alias(f"_last_{c}") for c in columns])
-    along = Window.partitionBy(*keys).orderBy("_piece")
+    along = Window.partitionBy("_series").orderBy("_piece")
     earlier = along.rowsBetween(Window.unboundedPreceding, -1)
     later = along.rowsBetween(1, Window.unboundedFollowing)
     placed = per_piece.withColumn("_start", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))

@@ -19,6 +19,7 @@ from windrow.session import durable
 
 ROWS_PER_SLICE = 2_000_000
 MAX_SLICES = 20_000
+SAMPLE_PER_SLICE = 2_000
 
 
 def cut_points(df: DataFrame, column: str, rows_per_slice: int = ROWS_PER_SLICE,
@@ -27,14 +28,17 @@ def cut_points(df: DataFrame, column: str, rows_per_slice: int = ROWS_PER_SLICE,
 
     Two scans of one column; at most ``max_slices - 1`` numbers come back to the driver. The size
     grows with the table once the number of slices has reached its limit. No cuts for a table
-    that fits one slice.
+    that fits one slice. Results do not depend on where the cuts lie, so on a large table they
+    are taken from a sample, as Spark does for its own range partitions.
     """
     total = df.count()
     slices = min(max_slices, math.ceil(total / rows_per_slice))
     if slices <= 1:
         return [], max(total, 1)
     probabilities = [i / slices for i in range(1, slices)]
-    cuts = df.approxQuantile(column, probabilities, 1 / (4 * slices))
+    share = slices * SAMPLE_PER_SLICE / total
+    values = df.select(column) if share >= 1 else df.select(column).sample(share, seed=42)
+    cuts = values.approxQuantile(column, probabilities, 1 / (4 * slices))
     return sorted(set(cuts)), math.ceil(total / slices)
 
 
