@@ -7,6 +7,7 @@ from bindings.registry import near_all, near_sql, query, table
 from windrow.ml.stage import WindowFeatures
 from windrow.operators import scaling, sequences, windows
 from windrow.operators.windows import WindowSpec
+from windrow.session import durable
 
 DAY = 86_400
 EVENTS = WindowSpec(("user_id", "event_type"), "ts", 5 * DAY, spread=("event_id",))
@@ -194,8 +195,8 @@ SELECT user_id, event_type, window_id, count(*) AS sample_count,
        {near_sql('min(value)')} AS value_min, {near_sql('max(value)')} AS value_max
 FROM w GROUP BY 1, 2, 3 HAVING count(*) >= 2""")
 def silver_to_gold(spark, folder):
-    """Filled, scaled, cut into windows."""
-    filled = imputed_events(spark, folder)
+    """Filled, scaled, cut into windows; the filled layer is materialised, as the layered job does."""
+    filled = durable(imputed_events(spark, folder))
     scaled = scaling.minmax(filled, ["value"])
     made = windows.window_features(scaled, EVENTS, ["value"], least=2, keep_helpers=True)
     return near_all(made, ["value_mean", "value_std", "value_min", "value_max"])
