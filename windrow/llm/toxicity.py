@@ -22,14 +22,14 @@ from pyspark.sql import functions as F
 from windrow.llm.common import FOLDS, HELD_OUT_FOLD, fold, map_arrow
 from windrow.session import durable
 
-SAMPLE = 20_000          # labelled rows learned from in each of two halves, about
+SAMPLE = 8_000           # labelled rows learned from in each of two halves, about
 MOST_TERMS = 20_000      # terms kept in the lexicon, the most telling ones
 LEAST_DOCUMENTS = 3      # toxic texts a term must occur in
 CHANCE = 2.0             # chance terms expected in the whole lexicon, at most
+LEAST_WEIGHT = 0.5       # of a term: 0 at the share of toxic texts overall, 1 where all are toxic
 WINDOW = 6               # words to each side
 FUZZY_FROM = 5           # letters from which a term may be met with one error
 CACHED = 300_000
-_EDGES = "".join(c for c in map(chr, range(0x3000)) if not c.isalnum())
 _QUOTES = frozenset("\"'“”„«»‹›‘’`")
 # fixed values: verbs and nouns of reporting in the languages of the test data
 REPORTING = frozenset("""
@@ -123,7 +123,15 @@ FEATURES = ("exact", "fuzzy", "exact_terms", "quoted", "crowded", "share")
 
 
 def clean(word: str) -> str:
-    return word.strip(_EDGES)
+    """Without what is neither letter nor digit at both ends."""
+    if word.isalnum():
+        return word
+    first, last = 0, len(word)
+    while first < last and not word[first].isalnum():
+        first += 1
+    while last > first and not word[last - 1].isalnum():
+        last -= 1
+    return word[first:last]
 
 
 @dataclass
@@ -235,7 +243,7 @@ def learn_lexicon(rows: DataFrame, most_terms: int = MOST_TERMS) -> tuple[list[s
     surprise = F.col("k") * F.log(share / rate) + against
     kept = (counts.filter((F.col("k") >= LEAST_DOCUMENTS) & (share > rate))
             .withColumn("surprise", surprise).filter(F.col("surprise") > math.log(terms / CHANCE))
-            .withColumn("weight", (share - rate) / (1 - rate)).filter("weight > 0.2")
+            .withColumn("weight", (share - rate) / (1 - rate)).filter(F.col("weight") > LEAST_WEIGHT)
             .orderBy(F.desc("surprise"), "term").limit(most_terms)
             .select("term", "weight").collect())
     return [r[0] for r in kept], [float(r[1]) for r in kept]
