@@ -7,9 +7,10 @@ A region with few sets is thus compared at the shallow depth and a crowded one a
 whatever its size, and the work is linear.
 
 Equal sets are one class, found by a hash of the set, and only classes go into the forest. Links
-are confirmed on full sets in two rounds: the nearest neighbours first; then, of the other
-candidates, those that lie in different components of what is confirmed so far. A candidate inside
-one component cannot change the components, so leaving it out loses nothing.
+are confirmed on full sets in two rounds. The first confirms the nearest neighbours. The second
+goes through the forest again, where every set carries the component it is in so far, and looks for
+the nearest sets of other components: a link inside a component cannot change the components, so
+leaving it out loses nothing, and crowded regions get further than their own group.
 """
 
 from __future__ import annotations
@@ -119,51 +120,61 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, width: int, trees: i
                      "bigint, size bigint, class binary, keys binary, sketch binary")
 
 
-def candidates(sets: DataFrame, similarity: float, trees: int) -> DataFrame:
-    """Pairs (a, b, gap) of classes that are neighbours in some tree; gap 1 is the nearest.
-
-    Both the ratio of the set sizes, which is exact, and the sketches must allow the similarity.
-    Each tree is one stretch of a range partitioning by (tree, key, class), so even equal keys are
-    spread over tasks; a task keeps ``NEIGHBOURS`` rows. Neighbours parted by the border of two
-    partitions in one tree meet in others.
-    """
+def forest(sets: DataFrame, trees: int) -> DataFrame:
+    """(tree, key, class, size, sketch, root) for every set and tree."""
     split = F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.struct(
         t.alias("tree"), F.substring(F.col("keys"), t * (2 * DEPTH) + 1,
                                      F.lit(2 * DEPTH)).alias("key")))
-    rows = (sets.select("class", F.col("size").cast("int").alias("size"), "sketch",
+    return (sets.select("class", F.col("size").cast("int").alias("size"), "sketch", "root",
                         F.explode(split).alias("x"))
-            .select("x.tree", "x.key", "class", "size", "sketch"))
+            .select("x.tree", "x.key", "class", "size", "sketch", "root"))
+
+
+def candidates(sets: DataFrame, similarity: float, trees: int, most: int) -> DataFrame:
+    """Pairs (a, b) of classes with different roots that are neighbours in some tree.
+
+    ``most`` neighbours of other roots are looked at before each set. Both the ratio of the set
+    sizes, which is exact, and the sketches must allow the similarity. Each tree is one stretch of
+    a range partitioning by (tree, key, class), so even equal keys are spread over tasks; a task
+    keeps ``most`` rows of each of the last ``most`` roots. Neighbours parted by the border of two
+    partitions in one tree meet in others.
+    """
     agree = (1 + similarity) / 2
     bits = min(SKETCH_BITS, trees * DEPTH)
-    most = int(bits * (1 - agree) + SIGMAS * (bits * agree * (1 - agree)) ** 0.5) + 1
+    apart = int(bits * (1 - agree) + SIGMAS * (bits * agree * (1 - agree)) ** 0.5) + 1
     prefix = 2 * SHALLOWEST
 
     def neighbours(batches):
-        held: list[tuple] = []
+        region, count = None, 0
+        held: dict[bytes, list[tuple]] = {}       # roots, the one seen last at the end
         for batch in batches:
-            found: list[tuple] = []
-            rows = zip(*(batch.column(c).to_pylist() for c in range(5)))
-            for tree, key, kind, size, sketch in rows:
-                bits_of = int.from_bytes(sketch, "big")
-                at = (tree, key[:prefix])
-                if held and held[-1][0] != at:
+            left, right = [], []
+            for tree, key, kind, size, sketch, root in zip(
+                    *(batch.column(c).to_pylist() for c in range(6))):
+                if region != (tree, key[:prefix]):
+                    region, count = (tree, key[:prefix]), 0
                     held.clear()
-                for gap, (_, other, other_size, other_bits) in enumerate(reversed(held), 1):
-                    if (min(size, other_size) >= similarity * max(size, other_size)
-                            and (bits_of ^ other_bits).bit_count() <= most):
-                        found.append((min(kind, other), max(kind, other), gap))
-                held.append((at, kind, size, bits_of))
-                if len(held) > NEIGHBOURS:
-                    del held[0]
-            if found:
+                number = int.from_bytes(sketch, "big")
+                if len(held) > (root in held):
+                    near = [row for other, rows in held.items() if other != root for row in rows]
+                    near.sort(key=lambda row: row[0], reverse=True)
+                    for _, other, other_size, other_number in near[:most]:
+                        if (min(size, other_size) >= similarity * max(size, other_size)
+                                and (number ^ other_number).bit_count() <= apart):
+                            left.append(min(kind, other))
+                            right.append(max(kind, other))
+                rows = held.pop(root, [])
+                rows.append((count, kind, size, number))
+                held[root] = rows[-most:]
+                if len(held) > most:
+                    del held[next(iter(held))]
+                count += 1
+            if left:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([p[0] for p in found], pa.binary()),
-                     pa.array([p[1] for p in found], pa.binary()),
-                     pa.array([p[2] for p in found], pa.int32())], ["a", "b", "gap"])
-    return (rows.repartitionByRange("tree", "key", "class")
+                    [pa.array(left, pa.binary()), pa.array(right, pa.binary())], ["a", "b"])
+    return (forest(sets, trees).repartitionByRange("tree", "key", "class")
             .sortWithinPartitions("tree", "key", "class")
-            .mapInArrow(neighbours, "a binary, b binary, gap int")
-            .groupBy("a", "b").agg(F.min("gap").alias("gap")))
+            .mapInArrow(neighbours, "a binary, b binary").distinct())
 
 
 def full_sets(docs: DataFrame, text_col: str, wanted: DataFrame, width: int) -> DataFrame:
@@ -217,29 +228,27 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     component_id is null. Repeated rows are decided alike. An empty table gives an empty one.
     """
     marked = durable(signatures(docs, id_col, text_col, width, trees))
-    classes = marked.filter(F.col("class").isNotNull()).groupBy("class").agg(
+    classes = durable(marked.filter(F.col("class").isNotNull()).groupBy("class").agg(
         F.min("id").alias("least_id"), F.min("text_hash").alias("text_hash"),
-        F.first("size").alias("size"))
-    classes = durable(classes)
+        F.first("size").alias("size")))
     keyed = marked.filter(F.col("class").isNotNull()).select(
         "class", "text_hash", "keys", "sketch").join(
         classes.select("class", "text_hash", "size"), ["class", "text_hash"]).dropDuplicates(
         ["class"])
-    found = durable(candidates(keyed, percent / 100, trees))
-    ends = found.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-    wanted = durable(classes.join(ends, "class", "left_semi").select("text_hash").distinct())
-    sets = durable(full_sets(docs, text_col, wanted, width))
-    links = durable(confirmed(found.filter(F.col("gap") <= NEAREST), sets, percent))
-    roots = durable(components(links))
-    rest = found.filter(F.col("gap") > NEAREST)
-    for end in ("a", "b"):
-        rest = rest.join(roots.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}")),
-                         end, "left")
-    apart = rest.filter(F.coalesce(F.col("root_a"), F.col("a"))
-                        != F.coalesce(F.col("root_b"), F.col("b")))
-    more = confirmed(apart, sets, percent)
-    grown = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more)
-    roots = components(grown)
+
+    def round_of(sets: DataFrame, most: int) -> DataFrame:
+        pairs = durable(candidates(sets, percent / 100, trees, most))
+        ends = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
+        wanted = durable(classes.join(ends, "class", "left_semi").select("text_hash").distinct())
+        sets = durable(full_sets(docs, text_col, wanted, width))
+        return confirmed(pairs, sets, percent)
+
+    roots = durable(components(round_of(keyed.withColumn("root", F.col("class")), NEAREST)))
+    rooted = keyed.join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn(
+        "root", F.coalesce("root", "class"))
+    more = round_of(rooted, NEIGHBOURS)
+    roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+                       .unionByName(more))
     named = classes.select("class", "least_id").join(
         roots.select(F.col("node").alias("class"), "root"), "class", "left").withColumn(
         "root", F.coalesce("root", "class"))
