@@ -28,7 +28,7 @@ from windrow.session import durable
 TREES = 24
 DEPTH = 8              # minimum hashes in a tree's key, two bytes each
 SHALLOWEST = 4         # leading hashes that candidates share
-NEAREST, NEIGHBOURS = 2, 16
+NEAREST, NEIGHBOURS = 2, 32
 SKETCH_BITS = 192
 SIGMAS = 4.5           # a candidate is dropped when its sketch is that far below the threshold
 _ODD = np.uint64(0x9E3779B97F4A7C15)
