@@ -28,8 +28,8 @@ from windrow.session import durable
 TREES = 24
 DEPTH = 8              # minimum hashes in a tree's key, two bytes each
 SHALLOWEST = 4         # leading hashes that candidates share
-NEAREST, NEIGHBOURS = 2, 32
-SKETCH_BITS = 192
+NEAREST, NEIGHBOURS = 2, 10
+SKETCHED = 192         # minimum hashes of which a sketch holds two bits each
 SIGMAS = 4.5           # a candidate is dropped when its sketch is that far below the threshold
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -111,7 +111,8 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, width: int, trees: i
                                  "<u8").tobytes())
             low = minimum_hashes(h, n)
             keys.append((low >> np.uint64(48)).astype(">u2").tobytes())
-            sketch.append(np.packbits((low[:SKETCH_BITS] & np.uint64(1)).astype(bool)).tobytes())
+            sketch.append(b"".join(np.packbits((low[:SKETCHED] >> np.uint64(k) & np.uint64(1))
+                                               .astype(bool)).tobytes() for k in (0, 1)))
         return pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array(size, pa.int64()),
              *(pa.array(x, pa.binary()) for x in (kind, keys, sketch))],
@@ -139,9 +140,9 @@ def candidates(sets: DataFrame, similarity: float, trees: int, most: int) -> Dat
     keeps ``most`` rows of each of the last ``most`` roots. Neighbours parted by the border of two
     partitions in one tree meet in others.
     """
-    agree = (1 + similarity) / 2
-    bits = min(SKETCH_BITS, trees * DEPTH)
-    apart = int(bits * (1 - agree) + SIGMAS * (bits * agree * (1 - agree)) ** 0.5) + 1
+    agree = (1 + 3 * similarity) / 4        # chance that the two bits of a minimum hash agree
+    n = min(SKETCHED, trees * DEPTH)
+    apart = int(n * (1 - agree) + SIGMAS * (n * agree * (1 - agree)) ** 0.5) + 1
     prefix = 2 * SHALLOWEST
 
     def neighbours(batches):
@@ -154,17 +155,18 @@ def candidates(sets: DataFrame, similarity: float, trees: int, most: int) -> Dat
                 if region != (tree, key[:prefix]):
                     region, count = (tree, key[:prefix]), 0
                     held.clear()
-                number = int.from_bytes(sketch, "big")
+                half = len(sketch) // 2
+                low, high = (int.from_bytes(x, "big") for x in (sketch[:half], sketch[half:]))
                 if len(held) > (root in held):
                     near = [row for other, rows in held.items() if other != root for row in rows]
                     near.sort(key=lambda row: row[0], reverse=True)
-                    for _, other, other_size, other_number in near[:most]:
+                    for _, other, other_size, a, b in near[:most]:
                         if (min(size, other_size) >= similarity * max(size, other_size)
-                                and (number ^ other_number).bit_count() <= apart):
+                                and ((low ^ a) | (high ^ b)).bit_count() <= apart):
                             left.append(min(kind, other))
                             right.append(max(kind, other))
                 rows = held.pop(root, [])
-                rows.append((count, kind, size, number))
+                rows.append((count, kind, size, low, high))
                 held[root] = rows[-most:]
                 if len(held) > most:
                     del held[next(iter(held))]
@@ -236,17 +238,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         classes.select("class", "text_hash", "size"), ["class", "text_hash"]).dropDuplicates(
         ["class"])
 
-    def round_of(sets: DataFrame, most: int) -> DataFrame:
-        pairs = durable(candidates(sets, percent / 100, trees, most))
+    def found(sets: DataFrame, most: int) -> DataFrame:
+        return candidates(sets, percent / 100, trees, most)
+
+    def linked(pairs: DataFrame) -> DataFrame:
         ends = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
         wanted = durable(classes.join(ends, "class", "left_semi").select("text_hash").distinct())
-        sets = durable(full_sets(docs, text_col, wanted, width))
-        return confirmed(pairs, sets, percent)
+        return confirmed(pairs, durable(full_sets(docs, text_col, wanted, width)), percent)
 
-    roots = durable(components(round_of(keyed.withColumn("root", F.col("class")), NEAREST)))
+    first = durable(found(keyed.withColumn("root", F.col("class")), NEAREST))
+    roots = durable(components(linked(first)))
     rooted = keyed.join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn(
         "root", F.coalesce("root", "class"))
-    more = round_of(rooted, NEIGHBOURS)
+    # what the first round has looked at is not looked at again
+    second = durable(
+        found(rooted, NEIGHBOURS).withColumn("fresh", F.lit(True))
+        .unionByName(first.withColumn("fresh", F.lit(False)))
+        .groupBy("a", "b").agg(F.min("fresh").alias("fresh")).filter("fresh").drop("fresh"))
+    more = linked(second)
     roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
                        .unionByName(more))
     named = classes.select("class", "least_id").join(
