@@ -46,14 +46,24 @@ def fold(key: Column | str) -> Column:
     return F.coalesce(F.crc32(col.cast("string").cast("binary")) % FOLDS, F.lit(0))
 
 
+SLICE_BYTES = 2 << 20
+
+
+def sliced(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches cut into slices of about ``SLICE_BYTES``, so that what is made of one is small."""
+    for batch in batches:
+        rows = max(1, batch.num_rows * SLICE_BYTES // max(batch.nbytes, 1))
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def map_arrow(df: DataFrame, function, schema: str) -> DataFrame:
-    """``mapInArrow`` of a function from one batch to one batch, skipping empty batches."""
+    """``mapInArrow`` of a function from one slice of a batch to one batch."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                made = function(batch)
-                if made is not None and made.num_rows:
-                    yield made
+        for batch in sliced(batches):
+            made = function(batch)
+            if made.num_rows:
+                yield made
     return df.mapInArrow(run, schema)
 
 

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from windrow.llm.common import held_out, map_arrow
+from windrow.llm.common import held_out, map_arrow, sliced
 
 UNKNOWN = "und"
 BITS = 16
@@ -129,7 +129,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
 
     def counted(batches):
         sums: dict[str, np.ndarray] = {}
-        for batch in batches:
+        for batch in sliced(batches):
             names = np.array(batch.column(1).to_pylist(), dtype=object)
             buckets, whose, _ = ngrams(batch.column(0).to_pylist(), bits)
             for name in set(names):

@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from windrow.llm.common import sliced
 from windrow.session import durable
 
 WINDOW = 2048
@@ -149,7 +150,7 @@ def pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
 
     def run(batches):
         encode = encoder(path).ids
-        for batch in batches:
+        for batch in sliced(batches):
             at, start, length, crc, total, held = [], [], [], [], [], []
             for i, text in enumerate(batch.column(1).to_pylist()):
                 ids = np.array(encode(text or "") + [end], "<u4")
