@@ -46,7 +46,7 @@ def fold(key: Column | str) -> Column:
     return F.coalesce(F.crc32(col.cast("string").cast("binary")) % FOLDS, F.lit(0))
 
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 512 << 10
 
 
 def sliced(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
