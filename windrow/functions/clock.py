@@ -26,7 +26,7 @@ def micros(df: DataFrame, name: str) -> Column:
             instant = F.from_utc_timestamp(instant, F.current_timezone())
         return F.unix_micros(instant)
     if isinstance(kind, (T.DoubleType, T.FloatType, T.DecimalType)):
-        return F.round(col * F.lit(MICROS)).cast("bigint")
+        return F.round(col * F.lit(MICROS)).try_cast("bigint")  # NaN has no time: null
     if isinstance(kind, (T.LongType, T.IntegerType)):
         return col.cast("bigint")
     raise TypeError(f"{name}: cannot read {kind.simpleString()} as a time")

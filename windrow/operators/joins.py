@@ -60,7 +60,7 @@ def attach(rows: DataFrame, table: DataFrame, on: Sequence[str], how: str = "lef
     if small is None:
         small = is_small(table)
     if small:
-        return _join(rows, F.broadcast(table), on, how, nulls_match)
+        return join_rows(rows, F.broadcast(table), on, how, nulls_match)
     return spread_join(rows, table, on, how, spread, nulls_match, pieces)
 
 
@@ -73,17 +73,18 @@ def spread_join(rows: DataFrame, table: DataFrame, on: Sequence[str], how: str =
     if not nulls_match:  # rows that match nothing may go anywhere
         wide = reduce(Column.__or__, [F.col(k).isNull() for k in on], wide)
     piece = F.when(wide, F.pmod(F.xxhash64(*(spread or rows.columns)), F.lit(pieces)))
-    left = (_join(rows, hot, on, "left", True)
+    left = (join_rows(rows, hot, on, "left", True)
             .withColumn("_piece", F.coalesce(piece, F.lit(0)).cast("int")).drop("_hot"))
     copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(pieces - 1)))
-    right = (_join(table, hot, on, "left", True)
+    right = (join_rows(table, hot, on, "left", True)
              .withColumn("_piece", F.explode(F.coalesce(copies, F.array(F.lit(0)))))
              .drop("_hot"))
-    return _join(left, right, [*on, "_piece"], how, nulls_match).drop("_piece")
+    return join_rows(left, right, [*on, "_piece"], how, nulls_match).drop("_piece")
 
 
-def _join(rows: DataFrame, table: DataFrame, on: Sequence[str], how: str, nulls_match: bool
-          ) -> DataFrame:
+def join_rows(rows: DataFrame, table: DataFrame, on: Sequence[str], how: str, nulls_match: bool
+              ) -> DataFrame:
+    """Equi-join with one column per key; ``nulls_match`` as in :func:`attach`."""
     if not nulls_match:
         return rows.join(table, list(on), how).select(
             *rows.columns, *_extra(rows, table, on, how))

@@ -168,5 +168,8 @@ def exact_percentiles(df: DataFrame, columns: Sequence[str], shares: Sequence[fl
         picks = covering if picks is None else picks.unionByName(covering)
     weight = F.max(F.col("rank") - F.floor("rank"))
     low, high = F.min("value"), F.max("value")
-    return picks.groupBy("measure", "share").agg(
-        (low + (high - low) * weight).alias("value"))
+    found = picks.groupBy("measure", "share").agg((low + (high - low) * weight).alias("value"))
+    # a column without a value has null percentiles
+    asked = df.sparkSession.createDataFrame(
+        [(name, float(s)) for name in columns for s in shares], "measure string, share double")
+    return F.broadcast(asked).join(found, ["measure", "share"], "left")

@@ -40,7 +40,7 @@ def split(df: DataFrame, key: Sequence[str], train: float = 0.8, seed: int = 42
 
 def mark_stratified(df: DataFrame, label: str, key: str, train: float = 0.8, seed: int = 42,
                     name: str = "in_train", bins: int = BINS) -> DataFrame:
-    """Put exactly round(train x size) rows of every class on the training side.
+    """Put exactly round(train x size) rows of every class on the training side; null is a class.
 
     Per class the rows with the smallest (hash, key) train. The rows are not ranked: counts per
     hash bin find the bin in which the last training row lies, only that bin is ordered to find
@@ -59,12 +59,12 @@ def mark_stratified(df: DataFrame, label: str, key: str, train: float = 0.8, see
                              & (F.col("_upto") - F.col("_n") < F.col("_want"))).select(
         label, "_bin", (F.col("_want") - F.col("_upto") + F.col("_n")).alias("_need"))
     small = is_small(df.select(label).distinct())
-    candidates = attach(rows, last_bin, [label, "_bin"], "inner", [key], small)
+    candidates = attach(rows, last_bin, [label, "_bin"], "inner", [key], small, nulls_match=True)
     ordered = Window.partitionBy(label).orderBy("_h", key)
     last_row = (candidates.withColumn("_r", F.row_number().over(ordered))
                 .filter(F.col("_r") == F.col("_need"))
                 .select(label, F.struct("_h", key).alias("_last")))
-    marked = attach(hashed, last_row, [label], "left", [key], small)
+    marked = attach(hashed, last_row, [label], "left", [key], small, nulls_match=True)
     inside = F.coalesce(F.struct("_h", key) <= F.col("_last"), F.lit(False))
     return marked.select(*df.columns, inside.alias(name))
 

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from windrow.functions.clock import micros, whole_micros, window_index
-from windrow.operators.joins import attach, hot_keys, is_small
+from windrow.operators.joins import attach, hot_keys, is_small, join_rows
 
 
 @dataclass(frozen=True)
@@ -117,7 +117,15 @@ def keep_complete(windowed: DataFrame, spec: WindowSpec, length: int) -> DataFra
     """
     complete = complete_windows(windowed, spec, length)
     if is_small(complete):
-        return windowed.join(F.broadcast(complete), spec.keys, "left_semi")
-    overfull = hot_keys(windowed, spec.keys).join(complete, spec.keys, "left_anti")
-    return (windowed.join(F.broadcast(overfull), spec.keys, "left_anti")
-            .join(complete, spec.keys, "left_semi"))
+        return join_rows(windowed, F.broadcast(complete), spec.keys, "left_semi", nulls_match=True)
+    return keep_complete_spread(windowed, spec, length, complete)
+
+
+def keep_complete_spread(windowed: DataFrame, spec: WindowSpec, length: int,
+                         complete: DataFrame | None = None) -> DataFrame:
+    """The shuffle path of :func:`keep_complete`; a null is a key like any other."""
+    if complete is None:
+        complete = complete_windows(windowed, spec, length)
+    overfull = join_rows(hot_keys(windowed, spec.keys), complete, spec.keys, "left_anti", True)
+    rest = join_rows(windowed, F.broadcast(overfull), spec.keys, "left_anti", True)
+    return join_rows(rest, complete, spec.keys, "left_semi", True)

@@ -1,7 +1,7 @@
 """The batch job, layer by layer: raw samples, clean samples, filled and scaled samples, features.
 
-Every function takes and returns DataFrames; nothing is executed or written here. ``build``
-writes each layer, which also cuts the lineage between them.
+Every function takes and returns DataFrames. Some start jobs that measure a table (slices, sizes of
+lookups); only ``build`` writes: each layer, which also cuts the lineage between them.
 """
 
 from __future__ import annotations
