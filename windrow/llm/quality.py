@@ -21,7 +21,7 @@ CLASSES = {                     # fixed values: character classes, the rest is "
     "lower": r"\p{Ll}", "upper": r"\p{Lu}", "digit": r"\p{N}", "space": r"[\x20\x09-\x0D]",
     "stop": r"[.,;:!?]", "symbol": r"[#*$%&|<>{}\[\]=+~^_\\/@]"}
 COMMON = 40                     # common words per language
-SAMPLE = 4_000                  # texts per language they are chosen from, about
+SAMPLE = 1_000                  # texts per language they are chosen from, about
 MOST_LANGUAGES = 1_000
 GRAM = 5
 LEAST_CHARS, LEAST_WORDS = 40, 60
@@ -98,6 +98,10 @@ def measured(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> Data
     found = F.filter(F.transform(words(F.lower("text")),
                                  lambda x: F.array_position("common", x)), lambda i: i > 0)
     counts = {name: F.regexp_count("text", F.lit(p)).cast("bigint") for name, p in CLASSES.items()}
+    # the two frequent classes without a match per character
+    counts["space"] = (F.char_length("text") - F.col("word_chars")).cast("bigint")
+    counts["lower"] = (F.char_length("text") - F.char_length(F.regexp_replace(
+        "text", CLASSES["lower"] + "+", ""))).cast("bigint")
     rows = rows.select("id", "lang", *BASE, "common", found.alias("found"),
                        F.char_length("text").cast("bigint").alias("n_chars"),
                        *[c.alias(f"c_{name}") for name, c in counts.items()])
