@@ -29,7 +29,7 @@ def rotate(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
 
     ``segment`` is header + body + footer; ``mask`` is true where the perspective's speaker has the
     turn, and then [mask_from, mask_to) are the code points of the segment to train on, body and
-    footer; otherwise both are null. A narrator's turns stay system turns and make no perspective.
+    footer; otherwise both are 0. A narrator's turns stay system turns and make no perspective.
     Markers inside a text are broken up, so that a text cannot forge a turn. A null text is empty,
     a null or empty role speaks as ``unknown``, and rows with a null conversation id are one
     conversation of that id. Repeated turns are rendered each. A conversation of narrators only
@@ -56,9 +56,9 @@ def rotate(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
         "conv_id", "perspective", "turn", role.alias("role"), name.alias("name"),
         header.alias("header"), "body", footer.alias("footer"),
         F.concat(header, F.col("body"), footer).alias("segment"), own.alias("mask"),
-        F.when(own, F.char_length(header)).cast("bigint").alias("mask_from"),
+        F.when(own, F.char_length(header)).otherwise(0).cast("bigint").alias("mask_from"),
         F.when(own, F.char_length(F.concat(header, F.col("body"), F.lit(CLOSE))))
-        .cast("bigint").alias("mask_to"))
+        .otherwise(0).cast("bigint").alias("mask_to"))
 
 
 ROTATE_SQL = f"""
@@ -82,7 +82,7 @@ named AS (
   FROM made)
 SELECT conv_id, perspective, turn, role, name, header, body, '{CLOSE}' || chr(10) AS footer,
        header || body || '{CLOSE}' || chr(10) AS segment, mask,
-       CASE WHEN mask THEN length(header) END AS mask_from,
-       CASE WHEN mask THEN length(header) + length(body) + {len(CLOSE)} END AS mask_to
+       CASE WHEN mask THEN length(header) ELSE 0 END AS mask_from,
+       CASE WHEN mask THEN length(header) + length(body) + {len(CLOSE)} ELSE 0 END AS mask_to
 FROM named
 """
