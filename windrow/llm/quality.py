@@ -23,6 +23,7 @@ CLASSES = {                     # fixed values: character classes, the rest is "
 COMMON = 40                     # common words per language
 SAMPLE = 1_000                  # texts per language they are chosen from, about
 MOST_LANGUAGES = 1_000
+SLOTS = 64                      # hash slots of a language's common words
 GRAM = 5
 LEAST_CHARS, LEAST_WORDS = 40, 60
 MOST_CLASS_DISTANCE = 0.30
@@ -91,12 +92,23 @@ def common_words(docs: DataFrame, id_col: str, text_col: str, lang_col: str, n:
     return spark.createDataFrame(chosen.collect(), "lang string, common array<string>")
 
 
+def _slot(word: Column) -> Column:
+    return F.pmod(F.hash(word), F.lit(SLOTS))
+
+
+def slotted(common: DataFrame) -> DataFrame:
+    """Add ``slots``: the common words by the slot of their hash, to look a word up among few."""
+    return common.withColumn("slots", F.transform(
+        F.sequence(F.lit(0), F.lit(SLOTS - 1)),
+        lambda k: F.filter("common", lambda x: _slot(x) == k)))
+
+
 def measured(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFrame:
     """The base counts with ``classes`` (characters per class) and ``met`` (per common word)."""
-    common = F.broadcast(common_words(docs, id_col, text_col, lang_col))
+    common = F.broadcast(slotted(common_words(docs, id_col, text_col, lang_col)))
     rows = base_counts(docs, id_col, text_col, lang_col).join(common, "lang", "left")
-    found = F.filter(F.transform(words(F.lower("text")),
-                                 lambda x: F.array_position("common", x)), lambda i: i > 0)
+    found = F.filter(words(F.lower("text")),
+                     lambda x: F.array_contains(F.get("slots", _slot(x)), x))
     counts = {name: F.regexp_count("text", F.lit(p)).cast("bigint") for name, p in CLASSES.items()}
     # the two frequent classes without a match per character
     counts["space"] = (F.char_length("text") - F.col("word_chars")).cast("bigint")
@@ -109,8 +121,8 @@ def measured(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> Data
     rest = F.col("n_chars")
     for c in classes:
         rest = rest - c
-    met = F.transform(F.sequence(F.lit(1), F.size("common")), lambda k: (
-        F.size("found") - F.size(F.array_remove("found", k.cast("bigint")))).cast("bigint"))
+    met = F.transform("common", lambda x: (
+        F.size("found") - F.size(F.array_remove("found", x))).cast("bigint"))
     return rows.select(
         "id", "lang", *BASE, F.array(*classes, rest).alias("classes"),
         F.when(F.size("common") > 0, F.concat(
