@@ -99,10 +99,13 @@ def split_fields(lines: DataFrame, fields: Mapping[str, str], separator: str = "
 
     Lines with another number of fields than ``fields`` are dropped, ``strip`` is removed from
     the last field, and a line with a field that does not parse is dropped.
+
+    Parts and fields each come out of a generator of one row: projections would be merged into
+    one another, and the line split anew for every field and condition.
     """
     names = list(fields)
     parts = F.split(F.col(value), _literal(separator), -1)
-    kept = lines.select(parts.alias("_parts")).filter(F.size("_parts") == len(names))
+    kept = _once(lines, parts.alias("_parts")).filter(F.size("_parts") == len(names))
 
     def field(position: int) -> Column:
         text = F.col("_parts").getItem(position)
@@ -111,7 +114,12 @@ def split_fields(lines: DataFrame, fields: Mapping[str, str], separator: str = "
         kind = fields[names[position]]
         return text if kind == "string" else text.try_cast(kind)
 
-    return kept.select(*[field(i).alias(n) for i, n in enumerate(names)]).na.drop()
+    return _once(kept, *[field(i).alias(n) for i, n in enumerate(names)]).na.drop()
+
+
+def _once(df: DataFrame, *columns: Column) -> DataFrame:
+    """The columns, computed once per row however often they are used later."""
+    return df.select(F.inline(F.array(F.struct(*columns))))
 
 
 def _literal(text: str) -> str:

@@ -104,7 +104,9 @@ def _edges(pieces: DataFrame, columns: Sequence[str], in_piece) -> DataFrame:
         *[F.max(reading(c)).alias(f"_last_{c}") for c in columns])
     along = Window.partitionBy("_series").orderBy("_piece")
     earlier = along.rowsBetween(Window.unboundedPreceding, -1)
-    later = along.rowsBetween(1, Window.unboundedFollowing)
+    # a frame that only grows is summed up in one pass, so the later pieces are read backwards
+    later = Window.partitionBy("_series").orderBy(F.desc("_piece")).rowsBetween(
+        Window.unboundedPreceding, -1)
     placed = per_piece.withColumn("_start", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
 
     def in_series(name: str) -> Column:

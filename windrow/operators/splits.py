@@ -6,6 +6,7 @@ number of cores. Here membership is a function of key, seed and share only.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from windrow.functions.hashing import hash_fraction
 from windrow.operators.joins import attach, is_small
 
-BINS = 65_536
+ROWS_PER_BIN = 10_000
 
 
 def stable_sample(df: DataFrame, key: Sequence[str], share: float, seed: int = 42) -> DataFrame:
@@ -39,13 +40,16 @@ def split(df: DataFrame, key: Sequence[str], train: float = 0.8, seed: int = 42
 
 
 def mark_stratified(df: DataFrame, label: str, key: str, train: float = 0.8, seed: int = 42,
-                    name: str = "in_train", bins: int = BINS) -> DataFrame:
+                    name: str = "in_train", bins: int | None = None) -> DataFrame:
     """Put exactly round(train x size) rows of every class on the training side; null is a class.
 
     Per class the rows with the smallest (hash, key) train. The rows are not ranked: counts per
     hash bin find the bin in which the last training row lies, only that bin is ordered to find
-    the row itself, and every row is then compared with it. ``key`` is unique.
+    the row itself, and every row is then compared with it. ``key`` is unique. The number of bins
+    follows from the table, so that a bin holds about ``ROWS_PER_BIN`` rows at most.
     """
+    if bins is None:
+        bins = max(1, math.ceil(df.count() / ROWS_PER_BIN))
     hashed = df.withColumn("_h", hash_fraction(key, seed=seed))
     rows = hashed.select(F.col(label), "_h", F.col(key),
                          F.floor(F.col("_h") * bins).cast("int").alias("_bin"))
