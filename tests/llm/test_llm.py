@@ -507,3 +507,15 @@ def test_pipeline_runs(spark, tiny):
         "language", "near_duplicates", "personal_data", "mixing", "packing"]
     rows = corpus_pipeline.run(spark, tiny).collect()
     assert rows and max(r["length"] for r in rows) <= 2048
+
+
+def test_parities_never_part_sets_that_are_linked():
+    """Sets differ in at least as many shingles as their parities do in bits."""
+    rng = np.random.default_rng(5)
+    for n in (1, 7, 200, 3000):
+        a = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+        for moved in (0, n // 20, n // 9, n):
+            b = np.concatenate([a[moved:], rng.integers(0, 1 << 63, moved, dtype=np.uint64)])
+            odd = [np.bincount((x % np.uint64(minhash.PARITIES)).astype(np.int64),
+                               minlength=minhash.PARITIES) & 1 for x in (a, b)]
+            assert (odd[0] != odd[1]).sum() <= len(np.setxor1d(a, b))

@@ -28,9 +28,10 @@ from windrow.session import durable
 TREES = 24
 DEPTH = 8              # minimum hashes in a tree's key, two bytes each
 SHALLOWEST = 4         # leading hashes that candidates share
-NEAREST, NEIGHBOURS = 2, 10
-SKETCHED = 192         # minimum hashes of which a sketch holds two bits each
+NEAREST, NEIGHBOURS = 2, 32
+SKETCHED = 192         # minimum hashes of which a sketch holds one bit each
 SIGMAS = 4.5           # a candidate is dropped when its sketch is that far below the threshold
+PARITIES = 512         # bits of a sketch that hold the parity of a share of the set
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -111,8 +112,9 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, width: int, trees: i
                                  "<u8").tobytes())
             low = minimum_hashes(h, n)
             keys.append((low >> np.uint64(48)).astype(">u2").tobytes())
-            sketch.append(b"".join(np.packbits((low[:SKETCHED] >> np.uint64(k) & np.uint64(1))
-                                               .astype(bool)).tobytes() for k in (0, 1)))
+            odd = np.bincount((h % np.uint64(PARITIES)).astype(np.int64), minlength=PARITIES) & 1
+            sketch.append(np.packbits((low[:SKETCHED] & np.uint64(1)).astype(bool)).tobytes()
+                          + np.packbits(odd.astype(bool)).tobytes())
         return pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array(size, pa.int64()),
              *(pa.array(x, pa.binary()) for x in (kind, keys, sketch))],
@@ -131,16 +133,18 @@ def forest(sets: DataFrame, trees: int) -> DataFrame:
             .select("x.tree", "x.key", "class", "size", "sketch", "root"))
 
 
-def candidates(sets: DataFrame, similarity: float, trees: int, most: int) -> DataFrame:
+def candidates(sets: DataFrame, percent: int, trees: int, most: int) -> DataFrame:
     """Pairs (a, b) of classes with different roots that are neighbours in some tree.
 
-    ``most`` neighbours of other roots are looked at before each set. Both the ratio of the set
-    sizes, which is exact, and the sketches must allow the similarity. Each tree is one stretch of
+    ``most`` neighbours of other roots are looked at before each set. The ratio of the set sizes,
+    the parities and the minimum hashes of the sketches must all allow the similarity. The first
+    two are exact: two sets differ in at least as many elements as their parities do in bits, and
+    at this similarity they differ in at most a share of their sizes. Each tree is one stretch of
     a range partitioning by (tree, key, class), so even equal keys are spread over tasks; a task
     keeps ``most`` rows of each of the last ``most`` roots. Neighbours parted by the border of two
     partitions in one tree meet in others.
     """
-    agree = (1 + 3 * similarity) / 4        # chance that the two bits of a minimum hash agree
+    agree = (100 + percent) / 200           # chance that the bits of a minimum hash agree
     n = min(SKETCHED, trees * DEPTH)
     apart = int(n * (1 - agree) + SIGMAS * (n * agree * (1 - agree)) ** 0.5) + 1
     prefix = 2 * SHALLOWEST
@@ -155,18 +159,20 @@ def candidates(sets: DataFrame, similarity: float, trees: int, most: int) -> Dat
                 if region != (tree, key[:prefix]):
                     region, count = (tree, key[:prefix]), 0
                     held.clear()
-                half = len(sketch) // 2
-                low, high = (int.from_bytes(x, "big") for x in (sketch[:half], sketch[half:]))
+                low = int.from_bytes(sketch[:-PARITIES // 8], "big")
+                odd = int.from_bytes(sketch[-PARITIES // 8:], "big")
                 if len(held) > (root in held):
                     near = [row for other, rows in held.items() if other != root for row in rows]
                     near.sort(key=lambda row: row[0], reverse=True)
                     for _, other, other_size, a, b in near[:most]:
-                        if (min(size, other_size) >= similarity * max(size, other_size)
-                                and ((low ^ a) | (high ^ b)).bit_count() <= apart):
+                        if (100 * min(size, other_size) >= percent * max(size, other_size)
+                                and ((100 + percent) * (odd ^ b).bit_count()
+                                     <= (100 - percent) * (size + other_size))
+                                and (low ^ a).bit_count() <= apart):
                             left.append(min(kind, other))
                             right.append(max(kind, other))
                 rows = held.pop(root, [])
-                rows.append((count, kind, size, low, high))
+                rows.append((count, kind, size, low, odd))
                 held[root] = rows[-most:]
                 if len(held) > most:
                     del held[next(iter(held))]
@@ -239,7 +245,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         ["class"])
 
     def found(sets: DataFrame, most: int) -> DataFrame:
-        return candidates(sets, percent / 100, trees, most)
+        return candidates(sets, percent, trees, most)
 
     def linked(pairs: DataFrame) -> DataFrame:
         ends = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
