@@ -3,6 +3,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from bindings.registry import fraction_sql, query, table
+from windrow.ml.scaling import SEEDS
 from windrow.ml.training import with_folds
 from windrow.operators import splits
 
@@ -38,9 +39,6 @@ def stratified_split(spark, folder):
         "event_id", "event_type", "in_train")
 
 
-SEEDS = (42, 123, 256)
-
-
 @query(" UNION ALL ".join(
     f"SELECT {s} AS seed, count(*) FILTER (h < 0.8) AS train_rows, count(*) FILTER (h >= 0.8) AS "
     f"test_rows FROM (SELECT {fraction_sql('event_id', seed=s)} AS h FROM events)" for s in SEEDS))
