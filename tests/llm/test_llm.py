@@ -125,6 +125,27 @@ def test_near_duplicates_of_a_large_group(spark):
     assert len(missed) <= 2 and all(i == c for i, _, c in got - exact_components(rows, 2, 80))
 
 
+def test_near_duplicates_deep_inside_a_crowded_region(spark, monkeypatch):
+    """Texts that share most words but are not linked, with links hidden among them: all are found."""
+    monkeypatch.setattr(minhash, "PIECE", 100)        # several blocks a region
+    monkeypatch.setattr(minhash, "NEAREST", 1)        # as few as in a region many times this size
+    monkeypatch.setattr(minhash, "NEIGHBOURS", 1)
+    rng = random.Random(11)
+    base = [f"w{k}" for k in range(130)]
+    rows = []
+    for i in range(300):
+        # own ends make two of these texts agree to about 3/4
+        rows.append((i, " ".join(base + [f"v{rng.randint(0, 10 ** 9)}" for _ in range(20)])))
+    for i in range(25):
+        # one link at about 0.82 each, to a text that stands anywhere among the others
+        words = rows[i * 10][1].split()[:135]
+        rows.append((5000 + i, " ".join(words + [f"u{rng.randint(0, 10 ** 9)}" for _ in range(15)])))
+    got = {(r["id"], r["n_shingles"], r["component_id"]) for r in minhash.near_duplicates(
+        spark.createDataFrame(rows, "doc_id bigint, text string"), width=2).collect()}
+    assert sum(c != i for i, _, c in got) == 25
+    assert got == exact_components(rows, 2, 80)
+
+
 def test_shingles_match_by_words_only():
     assert list(minhash.shingles("A  b\tC", 2)) == list(minhash.shingles("a B c", 2))
     assert len(minhash.shingles(" ", 2)) == 0 and len(minhash.shingles("x", 2)) == 1

@@ -11,6 +11,11 @@ are confirmed on full sets in two rounds. The first confirms the nearest neighbo
 goes through the forest again, where every set carries the component it is in so far, and looks for
 the nearest sets of other components: a link inside a component cannot change the components, so
 leaving it out loses nothing, and crowded regions get further than their own group.
+
+The second round also notes every region (tree and leading hashes) in which it could not compare
+all sets of different components. A third round compares all of them there, in blocks of bounded
+size. So every two sets of different components that share the leading hashes of some tree have
+been compared, however crowded the region.
 """
 
 from __future__ import annotations
@@ -22,7 +27,7 @@ from pyspark.sql import functions as F
 
 from windrow.llm.common import map_arrow
 from windrow.llm.components import components
-from windrow.operators.joins import is_small
+from windrow.operators.joins import attach, is_small
 from windrow.session import durable
 
 TREES = 24
@@ -31,6 +36,7 @@ SHALLOWEST = 4         # leading hashes that candidates share
 NEAREST, NEIGHBOURS = 2, 32
 SKETCHED = 192         # minimum hashes of which a sketch holds one bit each
 SIGMAS = 4.5           # a candidate is dropped when its sketch is that far below the threshold
+PIECE, PIECES = 1024, 64   # rows of a piece of a crowded region; pieces from which they grow instead
 PARITIES = 512         # bits of a sketch that hold the parity of a share of the set
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -133,37 +139,55 @@ def forest(sets: DataFrame, trees: int) -> DataFrame:
             .select("x.tree", "x.key", "class", "size", "sketch", "root"))
 
 
+def _apart(percent: int, trees: int) -> int:
+    """Bits of the minimum hashes in which the sketches of linked sets differ, at most."""
+    agree = (100 + percent) / 200           # chance that the bits of a minimum hash agree
+    n = min(SKETCHED, trees * DEPTH)
+    return int(n * (1 - agree) + SIGMAS * (n * agree * (1 - agree)) ** 0.5) + 1
+
+
 def candidates(sets: DataFrame, percent: int, trees: int, most: int) -> DataFrame:
     """Pairs (a, b) of classes with different roots that are neighbours in some tree.
 
+    Rows with a tree are no pairs: ``a`` then is the leading hashes of a region of that tree in
+    which sets of different roots were not all compared.
+
     ``most`` neighbours of other roots are looked at before each set. The ratio of the set sizes,
     the parities and the minimum hashes of the sketches must all allow the similarity. The first
     two are exact: two sets differ in at least as many elements as their parities do in bits, and
     at this similarity they differ in at most a share of their sizes. Each tree is one stretch of
     a range partitioning by (tree, key, class), so even equal keys are spread over tasks; a task
-    keeps ``most`` rows of each of the last ``most`` roots. Neighbours parted by the border of two
-    partitions in one tree meet in others.
+    keeps ``most`` rows of each of the last ``most`` roots. A region in which it let go of a row,
+    and one that may go on beyond the border of the partition, is noted.
     """
-    agree = (100 + percent) / 200           # chance that the bits of a minimum hash agree
-    n = min(SKETCHED, trees * DEPTH)
-    apart = int(n * (1 - agree) + SIGMAS * (n * agree * (1 - agree)) ** 0.5) + 1
-    prefix = 2 * SHALLOWEST
+    apart, prefix = _apart(percent, trees), 2 * SHALLOWEST
+
+    def made(left, right, tree):
+        return pa.RecordBatch.from_arrays(
+            [pa.array(left, pa.binary()), pa.array(right, pa.binary()), pa.array(tree, pa.int32())],
+            ["a", "b", "tree"])
 
     def neighbours(batches):
         region, count = None, 0
+        border, cut, several = True, False, False
         held: dict[bytes, list[tuple]] = {}       # roots, the one seen last at the end
         for batch in batches:
-            left, right = [], []
+            left, right, noted = [], [], []
             for tree, key, kind, size, sketch, root in zip(
                     *(batch.column(c).to_pylist() for c in range(6))):
                 if region != (tree, key[:prefix]):
-                    region, count = (tree, key[:prefix]), 0
+                    if region is not None:
+                        if border or (cut and several):
+                            noted.append(region)
+                        border = False
+                    region, count, cut, several = (tree, key[:prefix]), 0, False, False
                     held.clear()
                 low = int.from_bytes(sketch[:-PARITIES // 8], "big")
                 odd = int.from_bytes(sketch[-PARITIES // 8:], "big")
                 if len(held) > (root in held):
                     near = [row for other, rows in held.items() if other != root for row in rows]
                     near.sort(key=lambda row: row[0], reverse=True)
+                    cut, several = cut or len(near) > most, True
                     for _, other, other_size, a, b in near[:most]:
                         if (100 * min(size, other_size) >= percent * max(size, other_size)
                                 and ((100 + percent) * (odd ^ b).bit_count()
@@ -174,15 +198,85 @@ def candidates(sets: DataFrame, percent: int, trees: int, most: int) -> DataFram
                 rows = held.pop(root, [])
                 rows.append((count, kind, size, low, odd))
                 held[root] = rows[-most:]
+                cut = cut or len(rows) > most or len(held) > most
                 if len(held) > most:
                     del held[next(iter(held))]
                 count += 1
-            if left:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(left, pa.binary()), pa.array(right, pa.binary())], ["a", "b"])
+            if left or noted:
+                yield made(left + [r[1] for r in noted], right + [None] * len(noted),
+                           [None] * len(left) + [r[0] for r in noted])
+        if region is not None:
+            yield made([region[1]], [None], [region[0]])
     return (forest(sets, trees).repartitionByRange("tree", "key", "class")
             .sortWithinPartitions("tree", "key", "class")
-            .mapInArrow(neighbours, "a binary, b binary").distinct())
+            .mapInArrow(neighbours, "a binary, b binary, tree int").distinct())
+
+
+def _pairs(found: DataFrame) -> DataFrame:
+    return found.filter("tree is null").select("a", "b")
+
+
+def crowded_pairs(sets: DataFrame, regions: DataFrame, percent: int, trees: int) -> DataFrame:
+    """All pairs (a, b) of classes with different roots in ``regions`` (tree, region).
+
+    The tests are those of :func:`candidates`. A region is dealt by hash into pieces, and every two
+    pieces are one block of bounded size, so a crowded region is spread over many tasks.
+    """
+    apart = _apart(percent, trees)
+    rows = forest(sets, trees).withColumn("region", F.substring("key", 1, 2 * SHALLOWEST)).drop("key")
+    on = ["tree", "region"]
+    n = attach(rows.select(*on, "class", "root"), regions.withColumn("noted", F.lit(True)), on,
+               spread=["class"]).filter("noted").groupBy(*on).agg(
+        F.count(F.lit(1)).alias("n"), F.min("root").alias("first"), F.max("root").alias("last"))
+    pieces = durable(n.filter("first != last").select(*on, F.least(
+        F.ceil(F.col("n") / PIECE), F.lit(PIECES)).cast("int").alias("pieces")))
+    dealt = attach(rows, pieces, on, spread=["class"]).filter("pieces is not null").withColumn(
+        "own", F.pmod(F.hash("class"), F.col("pieces"))).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
+    block = [*on, "low", "high"]
+    dealt = dealt.withColumn("low", F.least("own", "other")).withColumn(
+        "high", F.greatest("own", "other")).select(*block, "root", "class", "size", "sketch", "own")
+
+    def compared(rows):
+        root, kind, size, sketch, own = zip(*rows)
+        bits = np.frombuffer(b"".join(sketch), np.uint8).reshape(len(rows), -1)
+        odd = np.ascontiguousarray(bits[:, -PARITIES // 8:]).view(np.uint64)
+        low = np.ascontiguousarray(bits[:, :-PARITIES // 8])
+        size, own = np.array(size, np.int64), np.array(own)
+        whole, end = own.min() == own.max(), len(rows)
+        left, right = [], []
+        for i in range(len(rows) - 1, -1, -1):        # rows stand by root: those from end on differ
+            if i + 1 < len(rows) and root[i] != root[i + 1]:
+                end = i + 1
+            if end == len(rows):
+                continue
+            fine = 100 * np.minimum(size[i], size[end:]) >= percent * np.maximum(size[i], size[end:])
+            if not whole:
+                fine &= own[end:] != own[i]
+            at = np.flatnonzero(fine) + end
+            at = at[(100 + percent) * np.bitwise_count(odd[at] ^ odd[i]).sum(1, dtype=np.int64)
+                    <= (100 - percent) * (size[at] + size[i])]
+            at = at[np.bitwise_count(low[at] ^ low[i]).sum(1, dtype=np.int64) <= apart]
+            for j in at.tolist():
+                left.append(min(kind[i], kind[j]))
+                right.append(max(kind[i], kind[j]))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(left, pa.binary()), pa.array(right, pa.binary())], ["a", "b"])
+
+    def blocks(batches):
+        now, held = None, []
+        for batch in batches:
+            for *key, root, kind, size, sketch, own in zip(
+                    *(batch.column(c).to_pylist() for c in range(batch.num_columns))):
+                if key != now:
+                    if len(held) > 1:
+                        yield compared(held)
+                    now, held = key, []
+                held.append((root, kind, size, sketch, own))
+        if len(held) > 1:
+            yield compared(held)
+    return (dealt.repartition(*block).sortWithinPartitions(*block, "root")
+            .mapInArrow(blocks, "a binary, b binary").distinct())
 
 
 def full_sets(docs: DataFrame, text_col: str, wanted: DataFrame, width: int) -> DataFrame:
@@ -252,18 +346,29 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         wanted = durable(classes.join(ends, "class", "left_semi").select("text_hash").distinct())
         return confirmed(pairs, durable(full_sets(docs, text_col, wanted, width)), percent)
 
-    first = durable(found(keyed.withColumn("root", F.col("class")), NEAREST))
+    def rooted(roots: DataFrame) -> DataFrame:
+        return keyed.join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn(
+            "root", F.coalesce("root", "class"))
+
+    def fresh(pairs: DataFrame, tested: DataFrame) -> DataFrame:
+        """What was looked at before is not looked at again."""
+        return durable(
+            pairs.withColumn("fresh", F.lit(True))
+            .unionByName(tested.withColumn("fresh", F.lit(False)))
+            .groupBy("a", "b").agg(F.min("fresh").alias("fresh")).filter("fresh").drop("fresh"))
+
+    def joined_by(roots: DataFrame, links: DataFrame) -> DataFrame:
+        return durable(components(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+                                  .unionByName(links)))
+
+    first = durable(_pairs(found(keyed.withColumn("root", F.col("class")), NEAREST)))
     roots = durable(components(linked(first)))
-    rooted = keyed.join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn(
-        "root", F.coalesce("root", "class"))
-    # what the first round has looked at is not looked at again
-    second = durable(
-        found(rooted, NEIGHBOURS).withColumn("fresh", F.lit(True))
-        .unionByName(first.withColumn("fresh", F.lit(False)))
-        .groupBy("a", "b").agg(F.min("fresh").alias("fresh")).filter("fresh").drop("fresh"))
-    more = linked(second)
-    roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
-                       .unionByName(more))
+    looked = durable(found(rooted(roots), NEIGHBOURS))
+    second = fresh(_pairs(looked), first)
+    roots = joined_by(roots, linked(second))
+    regions = looked.filter("tree is not null").select("tree", F.col("a").alias("region"))
+    third = fresh(crowded_pairs(rooted(roots), regions, percent, trees), first.unionByName(second))
+    roots = joined_by(roots, linked(third))
     named = classes.select("class", "least_id").join(
         roots.select(F.col("node").alias("class"), "root"), "class", "left").withColumn(
         "root", F.coalesce("root", "class"))
