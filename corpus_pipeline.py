@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from windrow.llm import language, minhash, mixing, packing, pii
-from windrow.session import shared_folder
+from windrow.operators.joins import attach
+from windrow.session import durable, shared_folder
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -27,12 +28,20 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group whose five-word shingles agree to 80 % or more."""
-    marked = minhash.near_duplicates(docs, width=5, percent=80)
-    dropped = marked.filter(~F.col("kept")).select("id").distinct()
-    # ids never repeat among the dropped, so the larger side is spread whatever its ids are
-    return docs.select(*COLUMNS).join(
-        dropped, F.col("doc_id").eqNullSafe(F.col("id")), "left_anti")
+    """Keep one row of each group whose five-word shingles agree to 80 % or more.
+
+    Rows are told apart by id and text, so null and repeated ids decide nothing about other texts.
+    Of rows equal in both, the least by the other columns stays.
+    """
+    marked = minhash.near_duplicates(docs, width=5, percent=80).filter(F.col("class").isNotNull())
+    told = durable(marked.groupBy(F.col("id").alias("doc_id"), F.col("text_hash").alias("h")).agg(
+        F.max("chosen").alias("again"), F.count(F.lit(1)).alias("n"))
+        .filter(~F.col("again") | (F.col("n") > 1)).drop("n"))
+    rows = attach(docs.select(*COLUMNS, F.xxhash64("text").alias("h")), told, ["doc_id", "h"],
+                  nulls_match=True)
+    one = (rows.filter("again").groupBy("doc_id", "h").agg(F.min(F.struct(*COLUMNS)).alias("row"))
+           .select("row.*"))
+    return rows.filter("again is null").select(*COLUMNS).unionByName(one)
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -522,6 +522,24 @@ def test_pipeline_stages(spark, odd):
         docs = spark.createDataFrame(rows, docs.schema)
 
 
+def test_pipeline_drops_rows_not_ids(spark):
+    """Null and repeated ids: clean texts stay, and exactly one row of each group does."""
+    import corpus_pipeline
+    a, b, c, d, e, f = (" ".join(f"{x}{i}" for i in range(40)) for x in "abcdef")
+    rows = [(1, a, "x"), (None, a, "x"), (None, b, "x"),      # a copy beside a clean null id
+            (None, c, "x"), (None, c, "x"), (None, c + " more", "x"),   # copies without an id
+            (2, d, "x"), (7, d, "x"), (7, e, "x"),            # a copy beside a clean text of its id
+            (9, f, "y"), (9, f, "x"), (9, f, "x")]            # repeated rows
+    docs = spark.createDataFrame([(i, t, lang, "s", len(t)) for i, t, lang in rows],
+                                 "doc_id bigint, text string, lang string, source string, "
+                                 "n_chars bigint")
+    got = [tuple(r)[:3] for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()]
+    left = [r for r in got if not r[1].startswith("c")]
+    assert sorted(left, key=lambda r: r[1]) == [(1, a, "x"), (None, b, "x"), (2, d, "x"),
+                                                (7, e, "x"), (9, f, "x")]
+    assert len(got) == len(left) + 1
+
+
 def test_pipeline_runs(spark, tiny):
     import corpus_pipeline
     assert [s[0] for s in corpus_pipeline.STAGES] == [

@@ -322,16 +322,21 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     width: int = 5, percent: int = 80, trees: int = TREES) -> DataFrame:
-    """Per row: id, n_shingles, class of equal sets, component_id (least id reachable), kept.
+    """Per row: id, text_hash, n_shingles, class of equal sets, component_id (least id), kept, chosen.
 
     ``kept`` marks one document of each group: the one whose id is the component's least. Texts
     that are null or have no word are linked with nothing and kept. A row with a null id never
     gives a group its id; it is kept only where no row of its group has an id, and then
     component_id is null. Repeated rows are decided alike. An empty table gives an empty one.
+
+    ``chosen`` marks one pair of id and text of each group, the least with null ids last, so that
+    only rows equal in both are marked together.
     """
     marked = durable(signatures(docs, id_col, text_col, width, trees))
     classes = durable(marked.filter(F.col("class").isNotNull()).groupBy("class").agg(
-        F.min("id").alias("least_id"), F.min("text_hash").alias("text_hash"),
+        F.min("id").alias("least_id"), F.min(F.struct(
+            F.col("id").isNull().alias("no_id"), "id", "text_hash")).alias("least"),
+        F.min("text_hash").alias("text_hash"),
         F.first("size").alias("size")))
     keyed = marked.filter(F.col("class").isNotNull()).select(
         "class", "text_hash", "keys", "sketch").join(
@@ -369,12 +374,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     regions = looked.filter("tree is not null").select("tree", F.col("a").alias("region"))
     third = fresh(crowded_pairs(rooted(roots), regions, percent, trees), first.unionByName(second))
     roots = joined_by(roots, linked(third))
-    named = classes.select("class", "least_id").join(
+    named = classes.select("class", "least_id", "least").join(
         roots.select(F.col("node").alias("class"), "root"), "class", "left").withColumn(
         "root", F.coalesce("root", "class"))
-    groups = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    of_class = named.join(groups, "root").select("class", "component_id")
-    joined = marked.select("id", "size", "class").join(of_class, "class", "left")
+    groups = named.groupBy("root").agg(
+        F.min("least_id").alias("component_id"), F.min("least").alias("best"))
+    of_class = named.drop("least").join(groups, "root").select("class", "component_id", "best")
+    joined = marked.select("id", "text_hash", "size", "class").join(of_class, "class", "left")
     own: Column = F.when(F.col("class").isNull(), F.col("id")).otherwise(F.col("component_id"))
-    return joined.select("id", F.col("size").alias("n_shingles"), "class",
-                         own.alias("component_id"), F.col("id").eqNullSafe(own).alias("kept"))
+    chosen = F.col("class").isNull() | (F.col("id").eqNullSafe(F.col("best.id"))
+                                        & (F.col("text_hash") == F.col("best.text_hash")))
+    return joined.select("id", "text_hash", F.col("size").alias("n_shingles"), "class",
+                         own.alias("component_id"), F.col("id").eqNullSafe(own).alias("kept"),
+                         chosen.alias("chosen"))
