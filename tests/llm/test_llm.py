@@ -468,6 +468,22 @@ def test_quality(spark, odd, none):
     assert quality.judge(none).count() == 0
 
 
+def test_common_words_of_all_texts_and_languages(spark):
+    """Words are counted in all texts, not in a sample, and no language loses its references."""
+    many = [(i, "often " * 2 + ("rare" if i == 17 else f"n{i % 30}"), "aa") for i in range(6000)]
+    few = [(10000 + i, f"word{i} " * 12 + "and so on", f"l{i:04d}") for i in range(1100)]
+    df = spark.createDataFrame(many + few, "doc_id bigint, text string, lang string")
+    got = dict(quality.common_words(df, "text", "lang").collect())
+    counts = collections.Counter(w for _, t, lang in many for w in set(t.split()))
+    assert got["aa"] == sorted(counts, key=lambda w: (-counts[w], w))[:quality.COMMON]
+    assert "rare" in got["aa"]
+    assert len(got) == 1101 and all(got[lang] for _, _, lang in few)
+    long = spark.createDataFrame([(i, f"a b{i % 7} " * 3 + " ".join(f"w{k}" for k in range(60)),
+                                   f"l{i:04d}") for i in range(1100)],
+                                 "doc_id bigint, text string, lang string")
+    assert quality.judge(long).filter("word_distance is null").count() == 0
+
+
 def test_divergence(spark):
     def plain(p, q):
         p, q = np.array(p) / sum(p), np.array(q) / sum(q)

@@ -2,27 +2,26 @@
 
 Every text is compared with references of its language: the histogram of its characters over
 classes, and that of the language's commonest words, each by the Jensen-Shannon distance (base 2,
-0 to 1). Which words are the common ones is chosen from a bounded sample; the references themselves
-are counted over all texts, one row per language. Rows are not shuffled: a text's counts are made
-in its row, and the references are joined by broadcast.
+0 to 1). The common words and the references are counted over all texts, one row per language.
+A text's counts are made in its row, and the references are attached: by broadcast where they are
+measured to be small.
 
 Texts too short for a histogram to mean anything pass that rule.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from windrow.llm.common import words
+from windrow.operators.joins import attach
 from windrow.session import durable
 
 CLASSES = {                     # fixed values: character classes, the rest is "other"
     "lower": r"\p{Ll}", "upper": r"\p{Lu}", "digit": r"\p{N}", "space": r"[\x20\x09-\x0D]",
     "stop": r"[.,;:!?]", "symbol": r"[#*$%&|<>{}\[\]=+~^_\\/@]"}
 COMMON = 40                     # common words per language
-SAMPLE = 1_000                  # texts per language they are chosen from, about
-MOST_LANGUAGES = 1_000
 SLOTS = 64                      # hash slots of a language's common words
 GRAM = 5
 LEAST_CHARS, LEAST_WORDS = 40, 60
@@ -69,27 +68,17 @@ def base_counts(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> D
         F.coalesce(covered, F.lit(0)).cast("bigint").alias("n_repeat_words"))
 
 
-def common_words(docs: DataFrame, id_col: str, text_col: str, lang_col: str, n: int = COMMON,
-                 sample: int = SAMPLE) -> DataFrame:
-    """(lang, common): the ``n`` words in most texts of a sample, lower-cased; ties by the word."""
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
+def common_words(docs: DataFrame, text_col: str, lang_col: str, n: int = COMMON) -> DataFrame:
+    """(lang, common): the ``n`` words in most texts of a language, lower-cased; ties by the word."""
+    rows = docs.select(F.col(text_col).alias("text"),
                        F.col(lang_col).cast("string").alias("lang")).filter("lang is not null")
-    listed = (rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-              .orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES).collect())
-    spark = docs.sparkSession
-    if not listed:
-        return spark.createDataFrame([], "lang string, common array<string>")
-    share = F.create_map(*[x for r in listed for x in (F.lit(r["lang"]), F.lit(sample / r["n"]))])
-    drawn = F.pmod(F.xxhash64("id", "text"), F.lit(1 << 20)) < share[F.col("lang")] * (1 << 20)
-    found = (rows.filter(drawn).select("lang", F.explode(F.array_distinct(words(F.lower("text"))))
-                                       .alias("x")).groupBy("lang", "x")
-             .agg(F.count(F.lit(1)).alias("n")))
-    best = F.slice(F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("n"), "x"))), 1, n)
-    top = F.broadcast(found.groupBy("lang").agg(F.max("n").alias("top")))   # a row per language
-    # words in at least a twentieth of the texts of the commonest: a few hundred at most
-    chosen = (found.join(top, "lang").filter(F.col("n") * 20 >= F.col("top")).groupBy("lang")
-              .agg(best.alias("best")).select("lang", F.col("best.x").alias("common")))
-    return spark.createDataFrame(chosen.collect(), "lang string, common array<string>")
+    found = (rows.select("lang", F.explode(F.array_distinct(words(F.lower("text")))).alias("x"))
+             .groupBy("lang", "x").agg(F.count(F.lit(1)).alias("n")))
+    # the limit on the rank also holds before the shuffle by language
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "x"))
+    best = F.sort_array(F.collect_list(F.struct("rank", "x")))
+    return (found.withColumn("rank", rank).filter(F.col("rank") <= n).groupBy("lang")
+            .agg(best.alias("best")).select("lang", F.col("best.x").alias("common")))
 
 
 def _slot(word: Column) -> Column:
@@ -105,8 +94,9 @@ def slotted(common: DataFrame) -> DataFrame:
 
 def measured(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFrame:
     """The base counts with ``classes`` (characters per class) and ``met`` (per common word)."""
-    common = F.broadcast(slotted(common_words(docs, id_col, text_col, lang_col)))
-    rows = base_counts(docs, id_col, text_col, lang_col).join(common, "lang", "left")
+    common = slotted(durable(common_words(docs, text_col, lang_col)))
+    rows = attach(base_counts(docs, id_col, text_col, lang_col), common, ["lang"],
+                  spread=["id", "n_words", "word_chars"])
     found = F.filter(words(F.lower("text")),
                      lambda x: F.array_contains(F.get("slots", _slot(x)), x))
     counts = {name: F.regexp_count("text", F.lit(p)).cast("bigint") for name, p in CLASSES.items()}
@@ -162,11 +152,8 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     passed, width = rows.filter(~F.col("base_failed")), len(CLASSES) + 1
     own = passed.filter("lang is not null").groupBy("lang").agg(
         _summed("classes", width).alias("class_ref"), _summed("met", COMMON + 1).alias("word_ref"))
-    own = docs.sparkSession.createDataFrame(
-        own.orderBy("lang").limit(MOST_LANGUAGES).collect(),
-        "lang string, class_ref array<bigint>, word_ref array<bigint>")
     overall = passed.agg(_summed("classes", width)).first()[0]
-    joined = rows.join(F.broadcast(own), "lang", "left")
+    joined = attach(rows, durable(own), ["lang"], spread=["id", "n_words", "word_chars"])
     class_ref = F.coalesce("class_ref", F.array(*map(F.lit, overall)).cast("array<bigint>"))
     chars = F.aggregate("classes", F.lit(0).cast("bigint"), lambda s, x: s + x)
     word_ref = F.slice("word_ref", F.lit(1), F.size("met"))
