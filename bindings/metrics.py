@@ -6,7 +6,7 @@ from bindings.registry import SLICE_ROWS, fraction_sql, near, near_all, near_sql
 from windrow.functions import numeric
 from windrow.operators import evaluation, resampling, roc
 
-REPLICATES = 200
+REPLICATES = 1000
 
 
 def argmax(first: int):

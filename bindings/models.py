@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bindings.registry import query, table
@@ -7,6 +10,7 @@ from windrow.ml import importance, scaling, training
 from windrow.operators import splits
 
 DIMENSIONS = 64
+WEAK_CORES = (1, 2, 4)          # fixed values: each with a quarter of the data per core
 
 
 def vectors(spark, folder):
@@ -48,7 +52,7 @@ def predict_lr(spark, folder):
     train, test, columns = _sides(spark, folder)
     classes = train.select("label").distinct().count()
     train = training.with_folds(train, ["vec_id"]).persist()
-    model = training.cross_validator(training.logistic_regression(grid=(0.01,)), columns, "label",
+    model = training.cross_validator(training.logistic_regression(), columns, "label",
                                      classes, parallelism=4).fit(train)
     train.unpersist()
     made = training.prediction_table(model.transform(test), ["vec_id"])
@@ -67,20 +71,20 @@ def topk_importance(spark, folder):
 def scaling_run(spark, folder):
     """Cross-validated forest on growing shares of the data."""
     df, columns = vectors(spark, folder)
-    return scaling.time_fractions(df, columns, "label", ["vec_id"], fractions=(0.5, 1.0)).drop(
-        "train_sec")
+    return scaling.time_fractions(df, columns, "label", ["vec_id"]).drop("train_sec")
 
 
 @query()
 def weak_scaling_run(spark, folder):
-    """One run on the share that belongs to the cores of this session."""
+    """One run on each share that keeps the rows per core constant, whatever cores this session has."""
     df, columns = vectors(spark, folder)
-    return scaling.time_weak(df, columns, "label", ["vec_id"], share_per_core=0.1).drop("train_sec")
+    runs = [scaling.time_weak(df, columns, "label", ["vec_id"], cores=cores).withColumn(
+        "share_of_cores", F.lit(cores)) for cores in WEAK_CORES]
+    return reduce(DataFrame.unionByName, runs).drop("train_sec")
 
 
 @query()
 def seed_stability(spark, folder):
     df, columns = vectors(spark, folder)
     return scaling.seed_stability(df, columns, "label", ["vec_id"],
-                                  training.perceptron(iterations=(50,)), seeds=(42, 123)).drop(
-        "train_sec")
+                                  training.perceptron(iterations=(50,))).drop("train_sec")

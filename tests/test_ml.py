@@ -1,3 +1,5 @@
+import inspect
+
 import numpy as np
 import pytest
 from conftest import rows_of
@@ -94,3 +96,37 @@ def test_scaling_and_stability_runs(separable):
     assert weak.first().fraction == 0.5
     stable = scaling.seed_stability(separable, COLUMNS, "kind", ["id"], spec, seeds=(1, 2)).collect()
     assert [r.seed for r in stable] == [1, 2] and all(r.train_rows + r.test_rows == 240 for r in stable)
+
+
+def test_registered_runs_use_full_settings(monkeypatch):
+    """The registered queries hand the operators' own fractions, seeds and grid to them."""
+    from bindings import metrics, models
+    from windrow.ml import scaling
+
+    seen = {}
+    monkeypatch.setattr(models, "vectors", lambda spark, folder: (None, ["x"]))
+
+    class Made:
+        def drop(self, *_): return self
+        def withColumn(self, *_): return self
+        def unionByName(self, _): return self
+
+    def note(name, function):
+        def called(*args, **given):
+            bound = inspect.signature(function).bind(*args, **given)
+            bound.apply_defaults()
+            seen.setdefault(name, []).append(bound.arguments)
+            return Made()
+        return called
+    for name in ("time_fractions", "time_weak", "seed_stability"):
+        monkeypatch.setattr(scaling, name, note(name, getattr(scaling, name)))
+    monkeypatch.setattr(models, "DataFrame", Made)
+    monkeypatch.setattr(models.F, "lit", lambda x: x)
+    models.scaling_run(None, "")
+    models.seed_stability(None, "")
+    models.weak_scaling_run(None, "")
+    assert seen["time_fractions"][0]["fractions"] == (0.25, 0.5, 0.75, 1.0)
+    assert seen["seed_stability"][0]["seeds"] == scaling.SEEDS
+    assert [(r["cores"], r["share_per_core"]) for r in seen["time_weak"]] == [
+        (1, 0.25), (2, 0.25), (4, 0.25)]
+    assert metrics.REPLICATES == 1000
