@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -67,5 +68,18 @@ def map_arrow(df: DataFrame, function, schema: str) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
+def finite_rows(column: pa.Array, length: int, largest: float) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the vectors with ``length`` components, all finite and below ``largest``, and these.
+
+    ``column`` holds lists of doubles; null ones, and those with a null entry, are left out.
+    """
+    lengths = column.value_lengths().fill_null(-1).to_numpy(zero_copy_only=False)
+    at = np.flatnonzero(lengths == length)
+    values = column.take(pa.array(at)).flatten().to_numpy(zero_copy_only=False)
+    values = values.astype(np.float64).reshape(len(at), length)
+    fine = (np.abs(values) < largest).all(1)      # not true of NaN, which null entries become
+    return at[fine], values[fine]
+
+
 def table(spark, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")

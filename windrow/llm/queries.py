@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from windrow.llm import (
-    chat, embeddings, language, minhash, mixing, packing, pii, quality, toxicity, warc,
+    chat, clustering, embeddings, exact, language, minhash, mixing, packing, pii, quality, toxicity,
+    warc, whitening,
 )
 from windrow.llm.common import held_out, table
 from windrow.session import shared_folder
@@ -77,7 +78,23 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
         pii.listed(F.col("spans")).alias("spans"))
 
 
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    made = whitening.whiten(table(spark, folder, "embeddings"))
+    return made.withColumnRenamed("id", "vec_id")
+
+
+def op12_clustering(spark: SparkSession, folder: str) -> DataFrame:
+    made = clustering.cluster(table(spark, folder, "embeddings"))
+    return made.withColumnRenamed("id", "vec_id")
+
+
+def op13_exact(spark: SparkSession, folder: str) -> DataFrame:
+    made = exact.duplicates(table(spark, folder, "documents"))
+    return made.withColumnRenamed("id", "doc_id")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_toxicity, op2_mixing, op3_packing, op4_warc, op5_minhash, op6_quality, op7_chat,
-    op8_language, op9_embeddings, op10_pii)}
-ORACLES = {"op7_chat": chat.ROTATE_SQL}
+    op8_language, op9_embeddings, op10_pii, op11_whitening, op12_clustering, op13_exact)}
+ORACLES = {"op7_chat": chat.ROTATE_SQL, "op12_clustering": clustering.cluster_sql(),
+           "op13_exact": exact.DUPLICATES_SQL}
