@@ -3,7 +3,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from bindings.registry import SLICE_ROWS, near, near_all, near_sql, query, table
-from windrow.operators import imputation, scaling, splits
+from windrow.operators import imputation, joins, scaling, splits
 from windrow.series import SeriesKey
 
 SERIES = SeriesKey(("user_id", "session"), "ts", "event_id")
@@ -52,6 +52,39 @@ def ffill_long_series(spark, folder):
                                    SLICE_ROWS // 10).select("event_id", "value")
 
 
+@query("""
+WITH i AS (SELECT l_orderkey, l_linenumber, l_returnflag, date_trunc('year', l_shipdate) AS t,
+                  CASE WHEN l_orderkey % 5 = 0 THEN l_quantity END AS q,
+                  l_orderkey * 10 + l_linenumber AS tie FROM lineitem)
+SELECT l_orderkey, l_linenumber, coalesce(
+         q, last_value(q IGNORE NULLS) OVER (PARTITION BY l_returnflag ORDER BY t, tie
+              ROWS BETWEEN 4 PRECEDING AND CURRENT ROW),
+         first_value(q IGNORE NULLS) OVER (PARTITION BY l_returnflag ORDER BY t, tie
+              ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING)) AS q FROM i""")
+def fill_ties(spark, folder):
+    """Few instants with thousands of rows each: series are cut between rows of one instant."""
+    items = table(spark, folder, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_returnflag",
+        F.date_trunc("year", "l_shipdate").alias("t"),
+        F.when(F.col("l_orderkey") % 5 == 0, F.col("l_quantity")).alias("q"),
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("tie"))
+    return imputation.bounded_fill(items, SeriesKey("l_returnflag", "t", "tie"), ["q"], 4,
+                                   rows_per_slice=SLICE_ROWS // 4).select(
+        "l_orderkey", "l_linenumber", "q")
+
+
+@query("SELECT event_id, event_type, n_events, last_value FROM (SELECT event_type, count(*) AS n_events, "
+       "max_by(value, event_id) AS last_value FROM events GROUP BY 1) JOIN events USING (event_type)")
+def spread_statistic_join(spark, folder):
+    """A statistic per event type joined by shuffle, each of the few types spread over pieces."""
+    events = table(spark, folder, "events")
+    facts = events.groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("n_events"), F.max_by("value", "event_id").alias("last_value"))
+    return joins.spread_join(events.select("event_id", "event_type"), facts, ["event_type"],
+                             "inner", ["event_id"], parts=64).select(
+        "event_id", "event_type", "n_events", "last_value")
+
+
 IMPUTED = f"""
 f AS (SELECT *, {fill_sql('forward', 'user_id, session', 2)} AS v1 FROM {SPARSE}),
 b AS (SELECT * EXCLUDE (value, v1), v1 AS value FROM f),

@@ -193,32 +193,17 @@ def _polynomial_sql(coefficients, x: str) -> str:
     return text
 
 
-def normal_quantile_sql(p: str) -> str:
-    def tail(side):
-        q = f"sqrt(-2.0 * ln({side}))"
-        return (f"({_polynomial_sql(numeric.QUANTILE_C, q)} / "
-                f"{_polynomial_sql(numeric.QUANTILE_D, q)})")
-    low, mid = numeric.QUANTILE_LOW, f"({p} - 0.5)"
-    square = f"({mid} * {mid})"
-    return (f"CASE WHEN {p} < {low} THEN {tail(p)} WHEN {p} > {1 - low} THEN -{tail(f'(1.0 - {p})')} "
-            f"ELSE {_polynomial_sql(numeric.QUANTILE_A, square)} * {mid} / "
-            f"{_polynomial_sql(numeric.QUANTILE_B, square)} END")
-
-
 def _bootstrap_sql(source: str) -> str:
     fraction = fraction_sql("label", "prediction", "replicate")
     return f"""WITH {source},
 k AS (SELECT label, prediction, count(*)::DOUBLE AS n FROM p GROUP BY 1, 2),
 cdf AS (SELECT label, prediction, sum(exp(i * ln(n) - n - lgamma(i + 1))) OVER (
-          PARTITION BY label, prediction ORDER BY i) AS cdf FROM k, range(0, 91) t(i) WHERE n <= 30),
-u AS (SELECT label, prediction, n, replicate, least(greatest({fraction}, 1e-10), 1 - 1e-10) AS u
+          PARTITION BY label, prediction ORDER BY i) AS cdf
+        FROM k, unnest(range(0, CAST(ceil(n + 10 * sqrt(n)) + 60 AS BIGINT))) t(i)),
+u AS (SELECT label, prediction, replicate, least(greatest({fraction}, 1e-10), 1 - 1e-10) AS u
       FROM k, range(1, {REPLICATES + 1}) t(replicate)),
-small AS (SELECT label, prediction, replicate, count(*) FILTER (cdf < u) AS n
-          FROM u JOIN cdf USING (label, prediction) GROUP BY 1, 2, 3),
-z AS (SELECT *, {normal_quantile_sql('u')} AS z FROM u WHERE n > 30),
-large AS (SELECT label, prediction, replicate, CAST(greatest(floor(n + z * sqrt(n) + (z * z - 1) / 6.0
-          + (z - z * z * z) / (72.0 * sqrt(n)) + 0.5), 0) AS BIGINT) AS n FROM z),
-d AS (SELECT * FROM small UNION ALL SELECT * FROM large),
+d AS (SELECT label, prediction, replicate, count(*) FILTER (cdf < u) AS n
+      FROM u JOIN cdf USING (label, prediction) GROUP BY 1, 2, 3),
 e AS (SELECT replicate, class, sum(t)::DOUBLE AS support, sum(g)::DOUBLE AS predicted,
              sum(h)::DOUBLE AS hits FROM (
         SELECT replicate, label AS class, n AS t, 0 AS g,

@@ -137,6 +137,32 @@ def test_bootstrap_is_near_a_resampling_of_the_rows(cells):
     assert f1.ci_lower < f1.observed < f1.ci_upper
 
 
+def exact_poisson(mean, us):
+    """Quantiles from the ratios of neighbouring chances, scaled to add up to 1."""
+    reach = int(12 * math.sqrt(mean)) + 80
+    low, high = max(0, int(mean) - reach), int(mean) + reach
+    k = np.arange(low, high + 1, dtype=float)
+    logs = np.concatenate([[0.0], np.cumsum(np.log(mean) - np.log(k[1:]))])
+    chance = np.exp(logs - logs.max())
+    upto = np.cumsum(chance / math.fsum(chance))
+    return [low + int(np.searchsorted(upto, u)) for u in us], upto
+
+
+@pytest.mark.parametrize("mean", [0.5, 7.0, 30.0, 31.0, 400.0, 1e4, 1e6])
+def test_poisson_quantiles_are_exact_at_every_mean(spark, mean):
+    us = [1e-10, 1e-6, 0.025, 0.5, 0.975, 1 - 1e-10, *np.random.default_rng(3).random(300)]
+    draws = spark.createDataFrame([(1, i, float(u)) for i, u in enumerate(us)] + [(2, 0, 0.4)],
+                                  "cell int, i int, u double")
+    means = spark.createDataFrame([(1, mean), (2, 0.0)], "cell int, mean double")
+    rows = resampling.poisson_quantiles(means, draws, ["cell"], "mean", "u", "k").collect()
+    got = {(r.cell, r.i): r.k for r in rows}
+    want, upto = exact_poisson(mean, us)
+    assert got[2, 0] == 0 and len(got) == len(us) + 1
+    for i, (u, k) in enumerate(zip(us, want)):
+        if np.abs(upto - u).min() > 1e-9:       # a draw on a step is told by the last digits only
+            assert got[1, i] == k, (mean, u)
+
+
 def test_bootstrap_repeats_and_counts_replicates(cells):
     drawn = resampling.replicate_cells(cells, 37)
     assert drawn.select("replicate").distinct().count() == 37

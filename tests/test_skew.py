@@ -27,9 +27,41 @@ def test_slices_are_even_for_the_table_and_bound_the_hot_key(skewed):
     assert len(sizes) == 12 and max(sizes) < 1.3 * size
 
 
-def test_slice_limit_holds(skewed):
-    cuts, size = cut_points(skewed.withColumn("d", F.col("t").cast("double")), "d", 1, max_slices=8)
-    assert len(cuts) <= 7 and size == 750
+def test_slices_grow_with_the_table_only_in_number(skewed):
+    cuts, size = cut_points(skewed.withColumn("d", F.col("t").cast("double")), "d", 10)
+    assert len(cuts) == 599 and size == 10
+
+
+@pytest.mark.parametrize("sampled", [False, True])
+def test_rows_of_one_instant_are_cut(spark, monkeypatch, sampled):
+    """20,000 rows of one series at one instant, and some around it."""
+    if sampled:
+        monkeypatch.setattr(ordering, "SAMPLE_PER_SLICE", 400)
+    time = F.when(F.col("id") < 500, 1).when(F.col("id") < 20_500, 2).otherwise(3)
+    df = spark.range(21_000).select(
+        F.lit(1).alias("key"), time.cast("long").alias("t"), F.concat(
+            F.lit("r"), F.pmod(F.xxhash64("id"), F.lit(10**9))).alias("tie"), "id",
+        F.when(F.col("id") % 9 == 0, F.col("id").cast("double")).alias("x")).repartition(5)
+    series = SeriesKey("key", "t", "tie")
+    timed = imputation.with_position(df, series)
+    cuts = ordering.boundaries(timed, "_us", ["t", "tie"], 500)
+    cut = ordering.slice_between(timed, "_us", ["t", "tie"], cuts, "s")
+    sizes = [r["count"] for r in cut.groupBy("s").count().collect()]
+    assert sum(sizes) == 21_000 and max(sizes) <= 500
+    order = [r["s"] for r in cut.orderBy("t", "tie").collect()]
+    assert order == sorted(order)
+    whole = imputation.bounded_fill(df, series, ["x"], 5)
+    made = imputation.bounded_fill(df, series, ["x"], 5, rows_per_slice=500)
+    assert whole.exceptAll(made).count() == 0 and made.count() == 21_000
+
+
+def test_fill_with_missing_times_and_nan(spark):
+    rows = [(1, [None, float("nan"), 1.0, 1.0000001, 1.0000002][i % 5], 997 * i % 1000, i,
+             float(i) if i % 4 == 0 else None) for i in range(1000)]
+    df = spark.createDataFrame(rows, "key int, t double, tie int, id int, x double")
+    series = SeriesKey("key", "t", "tie")
+    whole = imputation.bounded_fill(df, series, ["x"], 3)
+    assert whole.exceptAll(imputation.bounded_fill(df, series, ["x"], 3, rows_per_slice=60)).count() == 0
 
 
 def test_fill_of_a_hot_series(skewed):
@@ -55,11 +87,22 @@ def test_cuts_from_a_sample_still_give_even_slices(skewed, monkeypatch):
     assert len(cuts) == 5 and sum(sizes) == N and max(sizes) < 2000
 
 
-def test_hot_rows_are_spread(skewed):
-    table = skewed.groupBy("key").agg(F.min("t").alias("t0"))
-    joined = joins.spread_join(skewed, table, ["key"], "left", ["id"])
-    assert joined.count() == N and joined.filter("t0 IS NULL").count() == 0
-    assert {r.key for r in joins.hot_keys(skewed, ["key"]).collect()} >= {0}
+def test_hot_rows_are_spread(spark):
+    """A key with half of the rows goes evenly to as many pieces as it fills parts."""
+    rows = spark.range(40_000).select("id", F.when(F.col("id") % 2 == 0, F.lit(0)).otherwise(
+        F.col("id") % 5000).cast("int").alias("key"))
+    table = rows.groupBy("key").agg(F.min("id").alias("t0")).withColumn("key", F.col("key").cast("long"))
+    assert list(joins.hot_keys(rows, ["key"], parts=16).values()) == [8]
+    joined = joins.spread_join(rows, table, ["key"], "left", ["id"], parts=16)
+    assert joined.count() == 40_000 and joined.filter("t0 IS NULL").count() == 0
+    own = joined.select("key", spark_key(joined).alias("piece")).filter("key = 0")
+    sizes = [r["count"] for r in own.groupBy("piece").count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 1.2 * 20_000 / 8
+
+
+def spark_key(joined):
+    """The piece a row of the hot key was dealt to."""
+    return F.pmod(F.xxhash64("id"), F.lit(8))
 
 
 def test_scores_of_one_class_are_summed_in_slices(spark):

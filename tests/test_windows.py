@@ -3,7 +3,7 @@ from conftest import rows_of
 from pyspark.sql import functions as F
 
 from windrow.operators import joins, sequences, windows
-from windrow.operators.ordering import dense_index, sorted_index
+from windrow.operators.ordering import dense_index
 from windrow.operators.windows import WindowSpec
 
 SPEC = WindowSpec(("subject", "label"), "t", 5.0)
@@ -58,7 +58,7 @@ def test_shuffle_path_gives_the_same_windows(spark, tiny, monkeypatch):
     spec = WindowSpec(("user_id",), "ts", 86_400.0, spread=("event_id",))
     small = windows.assign_windows(hot, spec)
     want = sorted(rows_of(small.select("event_id", "window_id")))
-    monkeypatch.setattr(windows, "is_small", lambda *a, **k: False)
+    monkeypatch.setattr(joins, "is_small", lambda *a, **k: False)
     large = windows.assign_windows(hot, spec)
     assert sorted(rows_of(large.select("event_id", "window_id"))) == want
 
@@ -73,8 +73,9 @@ def test_spread_join_matches_a_plain_join(spark):
         want = sorted(rows_of(rows.join(table, "k", how).select("id", "k")), key=str)
         got = joins.spread_join(rows, table, ["k"], how, ["id"])
         assert sorted(rows_of(got.select("id", "k")), key=str) == want
-    pieces = joins.hot_keys(rows, ["k"]).count()
-    assert 2 <= pieces < joins.HOT_SHARE
+    assert sorted(joins.hot_keys(rows, ["k"]).values()) == [3, 3]      # null and 7: a third of 8 parts
+    assert sorted(joins.hot_keys(rows, ["k"], parts=30).values()) == [10, 10]
+    assert joins.hot_keys(rows.limit(0), ["k"]) == {}
 
 
 def test_small_is_measured_in_rows_and_bytes(spark):
@@ -110,6 +111,6 @@ def test_sequences_in_both_layouts(spark):
 def test_dense_index_without_a_single_task(spark):
     df = spark.range(1000).select((F.col("id") % 10).alias("a"), F.col("id").alias("b"))
     want = [(a, b, i) for i, (a, b) in enumerate(sorted(rows_of(df)))]
-    assert sorted(rows_of(sorted_index(df.repartition(6), ["a", "b"], "n"))) == want
+    assert sorted(rows_of(dense_index(df.repartition(6), ["a", "b"], "n"))) == want
     assert sorted(rows_of(dense_index(df, ["a", "b"], "n"))) == want
-    assert sorted(rows_of(dense_index(df, ["a", "b"], "n", single_task_rows=5))) == want
+    assert dense_index(df.limit(0), ["a", "b"], "n").count() == 0

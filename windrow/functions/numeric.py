@@ -22,9 +22,9 @@ QUANTILE_D = (7.784695709041462e-03, 3.224671290700398e-01, 2.445134137142996e+0
               3.754408661907416e+00, 1.0)
 QUANTILE_LOW = 0.02425
 
-# Poisson quantiles: summed exactly up to this mean, Cornish-Fisher beyond it.
-POISSON_EXACT_MEAN = 30
-POISSON_EXACT_STEPS = 90
+# Stirling's series for ln(k!), coefficients of k**-1, k**-3, ...
+STIRLING = (1 / 12, -1 / 360, 1 / 1260, -1 / 1680, 1 / 1188)
+STIRLING_FROM = 16
 
 
 def _horner(coefficients: tuple[float, ...], x: Column) -> Column:
@@ -60,29 +60,24 @@ def normal_quantile(p: Column) -> Column:
             .otherwise(centre))
 
 
-def poisson_cdf(mean: Column) -> Column:
-    """P(Poisson(mean) <= k) for k = 0, 1, ...; null for a mean that is not summed exactly."""
-    log_factorial = F.array(*[F.lit(math.lgamma(k + 1)) for k in range(POISSON_EXACT_STEPS + 1)])
-    log_mean = F.ln(mean)
-    each = F.transform(log_factorial, lambda lf, k: F.exp(k * log_mean - mean - lf))
-    summed = F.aggregate(each, F.array().cast("array<double>"), lambda done, p: F.concat(
-        done, F.array(p + F.coalesce(F.try_element_at(done, F.lit(-1)), F.lit(0.0)))))
-    return F.when((mean > 0) & (mean <= POISSON_EXACT_MEAN), summed)
+def _stirling_rest(k: Column) -> Column:
+    """ln(k!) less Stirling's formula, for whole k > 0."""
+    known = F.array(*[F.lit(math.lgamma(i + 1) - (i + 0.5) * math.log(i) + i
+                            - 0.5 * math.log(2 * math.pi)) for i in range(1, STIRLING_FROM)])
+    series = _horner(tuple(reversed(STIRLING)), 1 / (k * k)) / k
+    return F.when(k < STIRLING_FROM, F.get(known, k.cast("int") - 1)).otherwise(series)
 
 
-def poisson_quantile(mean: Column, u: Column, cdf: Column) -> Column:
-    """Smallest k with P(Poisson(mean) <= k) >= u, as a bigint.
+def poisson_pmf(k: Column, mean: Column) -> Column:
+    """P(Poisson(mean) = k) to double precision, for any mean above 0 and whole k >= 0.
 
-    ``cdf`` is :func:`poisson_cdf` of the mean, computed once for many draws. Where it is null
-    the normal quantile with its skewness terms is used, which is within one unit.
+    The exponent is written as the deviance of k from the mean, so that no large numbers cancel.
     """
-    summed = F.size(F.filter(cdf, lambda p: p < u))
-    z = normal_quantile(u)
-    expanded = F.floor(mean + z * F.sqrt(mean) + (z * z - 1) / F.lit(6.0)
-                       + (z - z * z * z) / (F.lit(72.0) * F.sqrt(mean)) + F.lit(0.5))
-    return (F.when(mean <= 0, F.lit(0))
-            .when(mean <= POISSON_EXACT_MEAN, summed)
-            .otherwise(F.greatest(expanded, F.lit(0)))).cast("bigint")
+    k = k.cast("double")
+    away = (mean - k) / k
+    deviance = k * (away - F.log1p(away))
+    usual = F.exp(-_stirling_rest(k) - deviance) / F.sqrt(F.lit(2 * math.pi) * k)
+    return F.when(k == 0, F.exp(-mean)).otherwise(usual)
 
 
 def ratio_or(numerator: Column, denominator: Column, default: float | None) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from windrow.functions.missing import floating, nan_to, present
-from windrow.operators.joins import attach, is_small
+from windrow.operators.joins import attach
 from windrow.operators.ordering import dense_index
 
 
@@ -89,8 +89,7 @@ def decode_label(df: DataFrame, names: DataFrame, key: str, name: str) -> DataFr
 def encode_label(df: DataFrame, label: str, code: str) -> DataFrame:
     """Add a dense code 0..k-1, labels in ascending order."""
     labels = df.select(label).filter(F.col(label).isNotNull()).distinct()
-    return attach(df, dense_index(labels, [label], code), [label], "left",
-                  small=is_small(labels))
+    return attach(df, dense_index(labels, [label], code), [label], "left")
 
 
 def split_fields(lines: DataFrame, fields: Mapping[str, str], separator: str = ",",

@@ -5,9 +5,10 @@ rest backward gives the same as taking the last raw reading within ``limit`` row
 else the first one within ``limit`` rows after: where the forward fill finds nothing, the nearest
 filled value ahead is itself a raw reading. So one ordered window serves both directions.
 
-A series that is longer than a slice is cut at global time quantiles. Each piece is filled on its
-own, and one record per piece (its length, its first and last reading) tells the next and the
-previous pieces what lies just beyond their edge.
+A series that is longer than a slice is cut at records of the global order by time and tiebreak, so
+rows of one instant are cut like any others. Each piece is filled on its own, and one record per
+piece (its length, its first and last reading) tells the next and the previous pieces what lies
+just beyond their edge.
 """
 
 from __future__ import annotations
@@ -16,12 +17,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from windrow.functions.clock import micros
 from windrow.functions.missing import nullify_nan
-from windrow.operators.joins import attach, is_small
-from windrow.operators.ordering import ROWS_PER_SLICE, cut_points, slice_of
+from windrow.operators.joins import attach
+from windrow.operators.ordering import ROWS_PER_SLICE, Boundaries, boundaries, slice_between
 from windrow.series import SeriesKey
+from windrow.session import durable
 
 FORWARD, BACKWARD = "forward", "backward"
 
@@ -30,15 +33,23 @@ def bounded_fill(df: DataFrame, series: SeriesKey, columns: Sequence[str], limit
                  directions: Sequence[str] = (FORWARD, BACKWARD),
                  rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
     """Fill nulls of ``columns`` from at most ``limit`` rows away, in the order of directions."""
-    timed = df.withColumn("_us", micros(df, series.time).cast("double"))
-    cuts, slice_rows = cut_points(timed, "_us", rows_per_slice)
-    if not cuts:
+    timed = with_position(df, series)
+    cuts = boundaries(timed, "_us", [series.time, series.tiebreak], rows_per_slice)
+    if cuts is None:
         before, after = _near(series.keys, series, columns, limit)
         return df.select(*_filled(df.columns, columns, directions, before, after))
-    return _fill_in_pieces(timed, series, columns, limit, directions, cuts, slice_rows).select(
+    return _fill_in_pieces(timed, series, columns, limit, directions, cuts, rows_per_slice).select(
         *df.columns)
 
 
+def with_position(df: DataFrame, series: SeriesKey) -> DataFrame:
+    """Add ``_us``, which never falls along the order of the series: no time first, NaN last."""
+    us = F.coalesce(micros(df, series.time).cast("double"), F.lit(-1e300))
+    if isinstance(df.schema[series.time].dataType, (T.DoubleType, T.FloatType)):
+        us = F.when(F.isnan(series.time), F.lit(1e300)).otherwise(us)
+    return df.withColumn("_us", us)
+
+
 def _near(parts: Sequence[str], series: SeriesKey, columns: Sequence[str], limit: int
           ) -> tuple[dict[str, Column], dict[str, Column]]:
     ordered = Window.partitionBy(*parts).orderBy(*series.order())
@@ -55,7 +66,7 @@ def _filled(names: Sequence[str], columns: Sequence[str], directions: Sequence[s
 
 
 def _fill_in_pieces(timed: DataFrame, series: SeriesKey, columns: Sequence[str], limit: int,
-                    directions: Sequence[str], cuts: Sequence[float], slice_rows: int
+                    directions: Sequence[str], cuts: Boundaries, slice_rows: int
                     ) -> DataFrame:
     # a struct of the keys joins and partitions like a key, and equals itself where one is null
     timed = timed.withColumn("_series", F.struct(*series.keys))
@@ -63,7 +74,7 @@ def _fill_in_pieces(timed: DataFrame, series: SeriesKey, columns: Sequence[str],
     # fewer series than there are slices can be longer than a slice
     long_series = (timed.groupBy("_series").agg(F.count(F.lit(1)).alias("_n"))
                    .filter(F.col("_n") > slice_rows).select("_series", F.lit(True).alias("_long")))
-    sliced = slice_of(timed, "_us", cuts, "_slice")
+    sliced = slice_between(timed, "_us", [series.time, series.tiebreak], cuts, "_slice")
     pieces = sliced.join(F.broadcast(long_series), "_series", "left").withColumn(
         "_piece", F.when(F.col("_long"), F.col("_slice")).otherwise(F.lit(0)))
 
@@ -133,9 +144,8 @@ def with_group_means(df: DataFrame, keys: Sequence[str], columns: Sequence[str],
                      suffix: str = "_mean", spread: Sequence[str] | None = None) -> DataFrame:
     """Add the mean of the row's group. Computed as an aggregate and joined back, because a
     window over the group would bring all its rows into one task."""
-    small = is_small(df.select(*keys).distinct())
-    return attach(df, group_means(df, keys, columns, suffix), keys, "left", spread, small,
-                  nulls_match=True)
+    means = durable(group_means(df, keys, columns, suffix))
+    return attach(df, means, keys, "left", spread, nulls_match=True)
 
 
 def impute(df: DataFrame, series: SeriesKey, columns: Sequence[str], limit: int = 15,
@@ -145,10 +155,9 @@ def impute(df: DataFrame, series: SeriesKey, columns: Sequence[str], limit: int
                           rows_per_slice=rows_per_slice)
     if not fallback:
         return filled
-    small = is_small(df.select(*fallback).distinct())
     spread = [*series.keys, series.time, series.tiebreak]
-    means = group_means(filled, fallback, columns, "__mean")
-    joined = attach(filled, means, fallback, "left", spread, small, nulls_match=True)
+    means = durable(group_means(filled, fallback, columns, "__mean"))
+    joined = attach(filled, means, fallback, "left", spread, nulls_match=True)
     return joined.select(*[
         F.coalesce(F.col(c), F.col(f"{c}__mean")).alias(c) if c in columns else F.col(c)
         for c in df.columns])

@@ -11,8 +11,7 @@ from pyspark.sql import types as T
 
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 32 * 1024 * 1024
-HOT_SHARE = 1000       # a key is hot when it holds more than 1/1000 of the rows
-HOT_PIECES = 256       # a hot key is spread over this many pieces
+MOST_TRACKED = 1_000_000     # items that Spark's frequency sketch can follow
 
 
 def _row_bytes(df: DataFrame) -> Column:
@@ -32,53 +31,81 @@ def _row_bytes(df: DataFrame) -> Column:
 def is_small(table: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
     """Measure, rather than assume, that ``table`` may be sent to every executor.
 
-    Reads at most ``rows + 1`` rows and returns two numbers to the driver.
+    Every task adds up its own rows, and two numbers reach the driver. A table that is dear to
+    compute should be durable before it is measured and joined.
     """
-    n, total = table.limit(rows + 1).agg(
+    n, total = table.agg(
         F.count(F.lit(1)), F.coalesce(F.sum(_row_bytes(table)), F.lit(0))).first()
     return n <= rows and total <= size
 
 
-def hot_keys(rows: DataFrame, on: Sequence[str], share: int = HOT_SHARE) -> DataFrame:
-    """Key values holding more than ``1/share`` of all rows: fewer than ``share`` of them."""
-    counts = rows.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-    total = rows.agg(F.count(F.lit(1)).alias("n")).scalar()
-    return counts.filter(F.col("_n") * share > total).drop("_n")
+def key_hash(df: DataFrame, on: Sequence[str], like: DataFrame | None = None) -> Column:
+    """Equal for keys that a join takes as equal; of the types that ``like`` has, where given."""
+    parts = []
+    for k in on:
+        kind = (df if like is None else like).schema[k].dataType
+        col = F.col(k) if df.schema[k].dataType == kind else F.col(k).try_cast(kind)
+        # negative zero joins with zero
+        parts.append(col + F.lit(0.0).cast(kind) if isinstance(
+            kind, (T.DoubleType, T.FloatType)) else col)
+    return F.xxhash64(*parts)
+
+
+def hot_keys(rows: DataFrame, on: Sequence[str], parts: int | None = None) -> dict[int, int]:
+    """Pieces for each key that is more than an even part of the rows, by :func:`key_hash`.
+
+    The table is thought of as ``parts`` even parts, by default as many as a shuffle has. Keys are
+    counted by a frequency sketch that every task fills for itself; a key above one part gets as
+    many pieces as it fills parts. So there are fewer hot keys than parts, and all pieces together
+    are fewer than twice the parts.
+    """
+    parts = parts or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tracked = min(MOST_TRACKED, max(1024, 32 * parts))
+    found, total = rows.select(key_hash(rows, on).alias("h")).agg(
+        F.expr(f"approx_top_k(h, {min(parts, tracked)}, {tracked})"), F.count(F.lit(1))).first()
+    each = max(1, -(-total // parts))
+    return {r["item"]: -(-r["count"] // each) for r in found or [] if r["count"] > each}
 
 
 def attach(rows: DataFrame, table: DataFrame, on: Sequence[str], how: str = "left",
            spread: Sequence[str] | None = None, small: bool | None = None,
-           nulls_match: bool = False, pieces: int = HOT_PIECES) -> DataFrame:
+           nulls_match: bool = False, parts: int | None = None) -> DataFrame:
     """Equi-join ``rows`` with a lookup or statistics ``table`` that has one row per key.
 
     A table measured to be small is broadcast, and the rows are not shuffled. A larger one is
-    joined by shuffle with the hot keys of ``rows`` spread over ``pieces``: their rows by a hash
-    of the ``spread`` columns (all columns by default), their table row copied to each piece.
-    ``small`` passes on a measurement the caller has already made. ``nulls_match`` treats null as
-    a key like any other, the way grouping does.
+    joined by shuffle with the hot keys of ``rows`` spread over pieces: their rows by a hash of the
+    ``spread`` columns (all columns by default), their table row copied to each piece. ``small``
+    passes on a measurement the caller has already made. ``nulls_match`` treats null as a key like
+    any other, the way grouping does.
     """
     if small is None:
         small = is_small(table)
     if small:
         return join_rows(rows, F.broadcast(table), on, how, nulls_match)
-    return spread_join(rows, table, on, how, spread, nulls_match, pieces)
+    return spread_join(rows, table, on, how, spread, nulls_match, parts)
 
 
 def spread_join(rows: DataFrame, table: DataFrame, on: Sequence[str], how: str = "left",
                 spread: Sequence[str] | None = None, nulls_match: bool = False,
-                pieces: int = HOT_PIECES) -> DataFrame:
-    """The shuffle path of :func:`attach`; correct for a table of any size and any key skew."""
-    hot = F.broadcast(hot_keys(rows.select(*on), on).withColumn("_hot", F.lit(True)))
-    wide = F.col("_hot")
-    if not nulls_match:  # rows that match nothing may go anywhere
-        wide = reduce(Column.__or__, [F.col(k).isNull() for k in on], wide)
-    piece = F.when(wide, F.pmod(F.xxhash64(*(spread or rows.columns)), F.lit(pieces)))
-    left = (join_rows(rows, hot, on, "left", True)
-            .withColumn("_piece", F.coalesce(piece, F.lit(0)).cast("int")).drop("_hot"))
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(pieces - 1)))
-    right = (join_rows(table, hot, on, "left", True)
-             .withColumn("_piece", F.explode(F.coalesce(copies, F.array(F.lit(0)))))
-             .drop("_hot"))
+                parts: int | None = None) -> DataFrame:
+    """The shuffle path of :func:`attach`; correct for a table of any size and any key skew.
+
+    A key that nothing matches, null included, is spread like any other hot one.
+    """
+    hot = hot_keys(rows.select(*on), on, parts)
+    if not hot:
+        return join_rows(rows, table, on, how, nulls_match)
+    # fewer rows than the shuffle has partitions
+    listed = F.broadcast(rows.sparkSession.createDataFrame(
+        list(hot.items()), "_hash bigint, _pieces bigint"))
+
+    def dealt(df: DataFrame, piece: Column) -> DataFrame:
+        return (df.withColumn("_hash", key_hash(df, on, like=rows)).join(listed, "_hash", "left")
+                .withColumn("_piece", piece).drop("_hash", "_pieces"))
+    own = F.pmod(F.xxhash64(*(spread or rows.columns)), F.col("_pieces"))
+    left = dealt(rows, F.coalesce(own, F.lit(0).cast("bigint")))
+    right = dealt(table, F.explode(F.sequence(
+        F.lit(0).cast("bigint"), F.coalesce("_pieces", F.lit(1).cast("bigint")) - 1)))
     return join_rows(left, right, [*on, "_piece"], how, nulls_match).drop("_piece")
 
 

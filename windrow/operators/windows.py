@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from windrow.functions.clock import micros, whole_micros, window_index
-from windrow.operators.joins import attach, hot_keys, is_small, join_rows
+from windrow.operators.joins import attach, is_small, join_rows, spread_join
+from windrow.session import durable
 
 
 @dataclass(frozen=True)
@@ -39,9 +40,8 @@ def segment_origin(df: DataFrame, spec: WindowSpec, name: str = "origin_us") ->
 
 def assign_windows(df: DataFrame, spec: WindowSpec) -> DataFrame:
     """Add the number of the window, counted from the first instant of the row's segment."""
-    small = is_small(df.select(*spec.segment).distinct())
-    placed = attach(df, segment_origin(df, spec, "_origin"), spec.segment, "inner",
-                    spread=spec.spread, small=small, nulls_match=True)
+    origins = durable(segment_origin(df, spec, "_origin"))
+    placed = attach(df, origins, spec.segment, "inner", spread=spec.spread, nulls_match=True)
     length = whole_micros(spec.seconds)
     return placed.select(
         *df.columns, window_index(micros(df, spec.time), F.col("_origin"), length)
@@ -112,10 +112,9 @@ def keep_complete(windowed: DataFrame, spec: WindowSpec, length: int) -> DataFra
     """Rows of the complete windows.
 
     When the list of complete windows is too long to broadcast, rows and list are shuffled by
-    window. A window holding a large share of the rows is over-full, hence not complete; those
-    few windows are filtered out first, so that no task receives one.
+    window; a window that holds a large share of the rows is spread over pieces.
     """
-    complete = complete_windows(windowed, spec, length)
+    complete = durable(complete_windows(windowed, spec, length))
     if is_small(complete):
         return join_rows(windowed, F.broadcast(complete), spec.keys, "left_semi", nulls_match=True)
     return keep_complete_spread(windowed, spec, length, complete)
@@ -126,6 +125,4 @@ def keep_complete_spread(windowed: DataFrame, spec: WindowSpec, length: int,
     """The shuffle path of :func:`keep_complete`; a null is a key like any other."""
     if complete is None:
         complete = complete_windows(windowed, spec, length)
-    overfull = join_rows(hot_keys(windowed, spec.keys), complete, spec.keys, "left_anti", True)
-    rest = join_rows(windowed, F.broadcast(overfull), spec.keys, "left_anti", True)
-    return join_rows(rest, complete, spec.keys, "left_semi", True)
+    return spread_join(windowed, complete, spec.keys, "left_semi", spec.spread, nulls_match=True)
