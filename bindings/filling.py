@@ -52,25 +52,26 @@ def ffill_long_series(spark, folder):
                                    SLICE_ROWS // 10).select("event_id", "value")
 
 
-@query("""
-WITH i AS (SELECT l_orderkey, l_linenumber, l_returnflag, date_trunc('year', l_shipdate) AS t,
-                  CASE WHEN l_orderkey % 5 = 0 THEN l_quantity END AS q,
-                  l_orderkey * 10 + l_linenumber AS tie FROM lineitem)
-SELECT l_orderkey, l_linenumber, coalesce(
-         q, last_value(q IGNORE NULLS) OVER (PARTITION BY l_returnflag ORDER BY t, tie
+_ITEM = "l_orderkey, l_linenumber, l_partkey, l_suppkey"
+
+
+@query(f"""
+WITH i AS (SELECT {_ITEM}, l_returnflag, date_trunc('year', l_shipdate) AS t,
+                  CASE WHEN l_orderkey % 5 = 0 THEN l_quantity END AS q FROM lineitem)
+SELECT {_ITEM}, coalesce(
+         q, last_value(q IGNORE NULLS) OVER (PARTITION BY l_returnflag ORDER BY t, {_ITEM}
               ROWS BETWEEN 4 PRECEDING AND CURRENT ROW),
-         first_value(q IGNORE NULLS) OVER (PARTITION BY l_returnflag ORDER BY t, tie
+         first_value(q IGNORE NULLS) OVER (PARTITION BY l_returnflag ORDER BY t, {_ITEM}
               ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING)) AS q FROM i""")
 def fill_ties(spark, folder):
     """Few instants with thousands of rows each: series are cut between rows of one instant."""
+    item = _ITEM.split(", ")
     items = table(spark, folder, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_returnflag",
-        F.date_trunc("year", "l_shipdate").alias("t"),
+        *item, "l_returnflag", F.date_trunc("year", "l_shipdate").alias("t"),
         F.when(F.col("l_orderkey") % 5 == 0, F.col("l_quantity")).alias("q"),
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("tie"))
+        F.struct(*item).alias("tie"))
     return imputation.bounded_fill(items, SeriesKey("l_returnflag", "t", "tie"), ["q"], 4,
-                                   rows_per_slice=SLICE_ROWS // 4).select(
-        "l_orderkey", "l_linenumber", "q")
+                                   rows_per_slice=SLICE_ROWS // 4).select(*item, "q")
 
 
 @query("SELECT event_id, event_type, n_events, last_value FROM (SELECT event_type, count(*) AS n_events, "
