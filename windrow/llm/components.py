@@ -5,18 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from windrow.operators.joins import BROADCAST_BYTES, BROADCAST_ROWS, _row_bytes, attach
 from windrow.session import durable
 
 
-def _star(edges: DataFrame, small: bool) -> DataFrame:
+def _star(edges: DataFrame, small: bool, few: bool) -> DataFrame:
     """One step over rows (a, b) with a > b.
 
     Large star: every neighbour above a node is tied to the least of the node and its neighbours.
-    Small star: a node and its neighbours below are tied to the least of those.
+    Small star: a node and its neighbours below are tied to the least of those. The least ones are
+    sent to all tasks where there are ``few`` links; else a node with very many links is spread.
     """
     if small:
         least = edges.groupBy("a").agg(F.min("b").alias("m"))
-        tied = edges.join(least, "a").select(
+        tied = attach(edges, least, ["a"], "inner", ["b"], few).select(
             F.explode(F.array(F.struct(F.col("a").alias("a"), F.col("m").alias("b")),
                               F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
     else:
@@ -24,7 +26,7 @@ def _star(edges: DataFrame, small: bool) -> DataFrame:
             F.struct(F.col("a").alias("u"), F.col("b").alias("v")),
             F.struct(F.col("b").alias("u"), F.col("a").alias("v")))).alias("e")).select("e.*")
         least = both.groupBy("u").agg(F.min(F.least("u", "v")).alias("m"))
-        tied = both.filter(F.col("v") > F.col("u")).join(least, "u").select(
+        tied = attach(both.filter(F.col("v") > F.col("u")), least, ["u"], "inner", ["v"], few).select(
             F.struct(F.col("v").alias("a"), F.col("m").alias("b")).alias("e"))
     return tied.select("e.*").filter(F.col("a") > F.col("b")).distinct()
 
@@ -40,8 +42,11 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     edges = durable(ends.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b"))
                     .filter(F.col("a") > F.col("b")).distinct())
     mark = _mark(edges)
+    size = edges.agg(F.coalesce(F.sum(_row_bytes(edges)), F.lit(0))).first()[0]
     while True:
-        edges = durable(_star(_star(edges, small=False), small=True))
+        # a step makes no links but only moves them: there are never more nodes than two per link
+        few = 2 * mark[0] <= BROADCAST_ROWS and size <= BROADCAST_BYTES
+        edges = durable(_star(_star(edges, False, few), True, few))
         now = _mark(edges)
         if now == mark:
             break

@@ -36,7 +36,8 @@ SHALLOWEST = 4         # leading hashes that candidates share
 NEAREST, NEIGHBOURS = 2, 32
 SKETCHED = 192         # minimum hashes of which a sketch holds one bit each
 SIGMAS = 4.5           # a candidate is dropped when its sketch is that far below the threshold
-PIECE, PIECES = 1024, 64   # rows of a piece of a crowded region; pieces from which they grow instead
+PIECE = 1024           # rows of a piece of a crowded region, about
+STEP = 4096            # pairs after which a block hands on what it found
 PARITIES = 512         # bits of a sketch that hold the parity of a share of the set
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -228,8 +229,8 @@ def crowded_pairs(sets: DataFrame, regions: DataFrame, percent: int, trees: int)
     n = attach(rows.select(*on, "class", "root"), regions.withColumn("noted", F.lit(True)), on,
                spread=["class"]).filter("noted").groupBy(*on).agg(
         F.count(F.lit(1)).alias("n"), F.min("root").alias("first"), F.max("root").alias("last"))
-    pieces = durable(n.filter("first != last").select(*on, F.least(
-        F.ceil(F.col("n") / PIECE), F.lit(PIECES)).cast("int").alias("pieces")))
+    pieces = durable(n.filter("first != last").select(
+        *on, F.ceil(F.col("n") / PIECE).cast("int").alias("pieces")))
     dealt = attach(rows, pieces, on, spread=["class"]).filter("pieces is not null").withColumn(
         "own", F.pmod(F.hash("class"), F.col("pieces"))).withColumn(
         "other", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
@@ -237,6 +238,10 @@ def crowded_pairs(sets: DataFrame, regions: DataFrame, percent: int, trees: int)
     dealt = dealt.withColumn("low", F.least("own", "other")).withColumn(
         "high", F.greatest("own", "other")).select(*block, "root", "class", "size", "sketch", "own")
 
+    def batch_of(left, right):
+        return pa.RecordBatch.from_arrays(
+            [pa.array(left, pa.binary()), pa.array(right, pa.binary())], ["a", "b"])
+
     def compared(rows):
         root, kind, size, sketch, own = zip(*rows)
         bits = np.frombuffer(b"".join(sketch), np.uint8).reshape(len(rows), -1)
@@ -260,8 +265,11 @@ def crowded_pairs(sets: DataFrame, regions: DataFrame, percent: int, trees: int)
             for j in at.tolist():
                 left.append(min(kind[i], kind[j]))
                 right.append(max(kind[i], kind[j]))
-        return pa.RecordBatch.from_arrays(
-            [pa.array(left, pa.binary()), pa.array(right, pa.binary())], ["a", "b"])
+            if len(left) >= STEP:
+                yield batch_of(left, right)
+                left, right = [], []
+        if left:
+            yield batch_of(left, right)
 
     def blocks(batches):
         now, held = None, []
@@ -269,12 +277,10 @@ def crowded_pairs(sets: DataFrame, regions: DataFrame, percent: int, trees: int)
             for *key, root, kind, size, sketch, own in zip(
                     *(batch.column(c).to_pylist() for c in range(batch.num_columns))):
                 if key != now:
-                    if len(held) > 1:
-                        yield compared(held)
+                    yield from compared(held) if len(held) > 1 else ()
                     now, held = key, []
                 held.append((root, kind, size, sketch, own))
-        if len(held) > 1:
-            yield compared(held)
+        yield from compared(held) if len(held) > 1 else ()
     return (dealt.repartition(*block).sortWithinPartitions(*block, "root")
             .mapInArrow(blocks, "a binary, b binary").distinct())
 
@@ -337,11 +343,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.min("id").alias("least_id"), F.min(F.struct(
             F.col("id").isNull().alias("no_id"), "id", "text_hash")).alias("least"),
         F.min("text_hash").alias("text_hash"),
-        F.first("size").alias("size")))
-    keyed = marked.filter(F.col("class").isNotNull()).select(
-        "class", "text_hash", "keys", "sketch").join(
-        classes.select("class", "text_hash", "size"), ["class", "text_hash"]).dropDuplicates(
-        ["class"])
+        # equal sets have equal keys and sketches
+        *[F.first(c).alias(c) for c in ("size", "keys", "sketch")]))
+    keyed = classes.select("class", "text_hash", "keys", "sketch", "size")
 
     def found(sets: DataFrame, most: int) -> DataFrame:
         return candidates(sets, percent, trees, most)
@@ -379,8 +383,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "root", F.coalesce("root", "class"))
     groups = named.groupBy("root").agg(
         F.min("least_id").alias("component_id"), F.min("least").alias("best"))
-    of_class = named.drop("least").join(groups, "root").select("class", "component_id", "best")
-    joined = marked.select("id", "text_hash", "size", "class").join(of_class, "class", "left")
+    of_class = durable(attach(named.drop("least"), groups, ["root"], "inner", ["class"]).select(
+        "class", "component_id", "best"))
+    # the copies of one text may be a large share of all rows
+    joined = attach(marked.select("id", "text_hash", "size", "class"), of_class, ["class"],
+                    spread=["id", "text_hash"])
     own: Column = F.when(F.col("class").isNull(), F.col("id")).otherwise(F.col("component_id"))
     chosen = F.col("class").isNull() | (F.col("id").eqNullSafe(F.col("best.id"))
                                         & (F.col("text_hash") == F.col("best.text_hash")))

@@ -116,8 +116,8 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
          shard_words: int = SHARD_WORDS, keep: Sequence[str] | None = None) -> DataFrame:
     """Every row as a struct ``doc`` (columns ``keep``), with one row per copy in the mix.
 
-    Columns: doc, size, source_size, target, copy, shard, place. ``copy``, ``shard`` and ``place``
-    are null for a row that the mix leaves out. Sources stand in code-point order with null last
+    Columns: doc, h, size, source_size, target, copies (of this row), copy (0, 1, ...), shard,
+    place. ``copy``, ``shard`` and ``place`` are null for a row that the mix leaves out. Sources stand in code-point order with null last
     and take the weights in turn. Sizes are in words; a null or blank text has size 0, never takes
     part in the filling, and appears as often as its block. Rows that are equal in id and text are
     decided alike. An empty table gives an empty one. Reruns agree.
@@ -188,11 +188,11 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     more: Column = (F.col("position") < F.col("edge")) | (
         (F.col("position") == F.col("edge")) & F.coalesce("picked", F.lit(False)))
     copies = F.col("whole") + more.cast("bigint")
-    taken = decided.withColumn("copy", F.explode_outer(
+    taken = decided.withColumn("copies", copies).withColumn("copy", F.explode_outer(
         F.when(copies > 0, F.sequence(F.lit(0).cast("bigint"), copies - 1))))
     drawn = taken.withColumn("draw", F.col("copy") * F.col("blocks") + F.col("position"))
     return attach(drawn, draws, ["s", "draw"], spread=["h", "size"]).select(
-        "doc", "h", "size", "source_size", "target", "copy", "shard",
+        "doc", "h", "size", "source_size", "target", "copies", "copy", "shard",
         F.when(F.col("shard").isNotNull(), F.xxhash64("shard", "h", "copy")).alias("place"))
 
 

@@ -25,7 +25,8 @@ from windrow.session import durable
 WINDOW = 2048
 END = 1
 GROUP = 8192           # pieces packed together
-CACHED = 400_000       # chunks of text whose ids a worker remembers
+CACHED = 16 << 20      # bytes of chunks of text and ids that a worker remembers
+OVERHEAD = 180         # bytes of a remembered chunk besides
 _UNEVEN_SPACE = re.compile(r"\s | \s")
 _SINGLE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 _ENCODERS: dict[str, Encoder] = {}
@@ -44,7 +45,8 @@ class Encoder:
         from tokenizers import Tokenizer
         self.full = Tokenizer.from_file(path)
         self.special = [t.content for t in self.full.get_added_tokens_decoder().values()]
-        self.known: dict[str, tuple] = {}
+        self.known: dict[str, bytes] = {}
+        self.held = 0
         self.encode = lambda text: self.full.encode(text, add_special_tokens=False).ids
         try:
             import public_tokenizers
@@ -58,24 +60,27 @@ class Encoder:
             pass
 
     def ids(self, text: str) -> list[int]:
+        return self.encoded(text).tolist()
+
+    def encoded(self, text: str) -> np.ndarray:
+        """The ids, as little-endian unsigned 32-bit numbers."""
         if any(s in text for s in self.special):
-            return self.full.encode(text, add_special_tokens=False).ids
+            return np.array(self.full.encode(text, add_special_tokens=False).ids, "<u4")
         chunks = (_SINGLE_SPACE if _UNEVEN_SPACE.search(text) else " ")
         chunks = text.split(" ") if chunks == " " else chunks.split(text)
-        known, out = self.known, []
-        if len(known) > CACHED:
+        known, out = self.known, [np.array(self.encode(chunks[0]), "<u4").tobytes()]
+        if self.held > CACHED:
             known.clear()
-        first = True
-        for chunk in chunks:
-            if first:
-                out.extend(self.encode(chunk))
-                first = False
-                continue
+            self.held = 0
+        for chunk in chunks[1:]:
             found = known.get(chunk)
             if found is None:
-                found = known[chunk] = tuple(self.encode(" " + chunk))
-            out.extend(found)
-        return out
+                found = np.array(self.encode(" " + chunk), "<u4").tobytes()
+                if len(chunk) + len(found) < 256:      # long chunks do not come again
+                    known[chunk] = found
+                    self.held += 4 * len(chunk) + len(found) + OVERHEAD
+            out.append(found)
+        return np.frombuffer(b"".join(out), "<u4")
 
 
 def encoder(path: str) -> Encoder:
@@ -149,11 +154,11 @@ def pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
               + (", ids array<int>" if with_ids else ""))
 
     def run(batches):
-        encode = encoder(path).ids
+        encode = encoder(path).encoded
         for batch in sliced(batches):
             at, start, length, crc, total, held = [], [], [], [], [], []
             for i, text in enumerate(batch.column(1).to_pylist()):
-                ids = np.array(encode(text or "") + [end], "<u4")
+                ids = np.append(encode(text or ""), np.array([end], "<u4"))
                 for s in range(0, len(ids), size):
                     part = ids[s:s + size]
                     at.append(i)

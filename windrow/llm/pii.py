@@ -29,30 +29,52 @@ KINDS = tuple(PATTERNS)
 CONTEXT = "context"
 _QUICK = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 TOKEN = r"(?<![^\x20\x09-\x0D])[^0-9@\x20\x09-\x0D]*+[0-9@][^\x20\x09-\x0D]*+"
-BEFORE = 64            # code points before a token in which the word before it is looked for
-ROUNDS = 3
+RUN = 256              # running totals of a long array are kept in runs of this length
 CONFIDENCE = 0.8       # share of a pattern's instances that must be known
 LEAST_KNOWN = 3        # known instances a pattern needs
 IDENTIFIER = r"^(?=(?:[^0-9]*[0-9]){2})[^\x20]{8,}$"    # two digits, eight characters
 _SPAN = "array<struct<start:bigint,end:bigint,kind:int>>"
 
 
+def _running(numbers: Column, step) -> Column:
+    """``step`` folded over an array of bigint, with the result at every place.
+
+    Results are kept in runs, which are put together once at the end: an array that grew by one
+    result at a time would be copied as often as it is long.
+    """
+    run = "array<bigint>"
+    start = F.struct(F.lit(0).cast("bigint").alias("last"), F.array().cast(f"array<{run}>").alias("done"),
+                     F.array().cast(run).alias("now"))
+
+    def add(acc: Column, x: Column) -> Column:
+        value = step(acc["last"], x)
+        full = F.size(acc["now"]) >= RUN
+        return F.struct(
+            value.alias("last"),
+            F.when(full, F.concat(acc["done"], F.array(acc["now"]))).otherwise(acc["done"]).alias("done"),
+            F.when(full, F.array(value)).otherwise(F.concat(acc["now"], F.array(value))).alias("now"))
+    return F.aggregate(numbers, start, add,
+                       lambda a: F.flatten(F.concat(a["done"], F.array(a["now"]))))
+
+
+def _cut(text: Column, pattern: str) -> tuple[Column, Column]:
+    """The text between the matches, and the matches with their ends in code points."""
+    pieces = F.split(text, pattern, -1)
+    matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    lengths = F.zip_with(pieces, matches, lambda p, m: (
+        F.char_length(p) + F.coalesce(F.char_length(m), F.lit(0))).cast("bigint"))
+    ends = _running(lengths, lambda a, x: a + x)
+    return pieces, F.zip_with(F.slice(ends, F.lit(1), F.size(matches)), matches, lambda e, m: F.struct(
+        (e - F.char_length(m)).alias("start"), e.alias("end"), m.alias("match")))
+
+
 def _spans_of(text: Column, pattern: str, kind: int, fine) -> Column:
     """Spans of the matches that ``fine`` accepts, in code points.
 
     The text is cut at the matches; lengths of the pieces and matches add up to the places.
     """
-    parts = F.arrays_zip(F.split(text, pattern, -1).alias("piece"),
-                         F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("match"))
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(_SPAN).alias("spans"))
-    def step(acc: Column, part: Column) -> Column:
-        begin = acc["at"] + F.char_length(part["piece"])
-        end = begin + F.char_length(F.coalesce(part["match"], F.lit("")))
-        span = F.array(F.struct(begin.alias("start"), end.alias("end"), F.lit(kind).alias("kind")))
-        return F.struct(end.alias("at"), F.when(
-            part["match"].isNotNull() & fine(F.coalesce(part["match"], F.lit(""))),
-            F.concat(acc["spans"], span.cast(_SPAN))).otherwise(acc["spans"]).alias("spans"))
-    return F.aggregate(parts, start, step, lambda a: a["spans"])
+    return F.transform(F.filter(_cut(text, pattern)[1], lambda m: fine(m["match"])), lambda m: F.struct(
+        m["start"].alias("start"), m["end"].alias("end"), F.lit(kind).alias("kind")))
 
 
 def _digits(match: Column) -> Column:
@@ -103,48 +125,82 @@ def listed(spans: Column, names: tuple[str, ...] = (*KINDS, CONTEXT)) -> Column:
         ":", F.get(kinds, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+def _once(df: DataFrame, *columns: Column | str) -> DataFrame:
+    """The columns, computed once per row however often they are used later."""
+    return df.select(F.inline(F.array(F.struct(*columns))))
+
+
+def _last_word(text: Column) -> Column:
+    """What follows the last white space, once the end is trimmed."""
+    spaces = " \t\n\x0b\x0c\r"
+    return F.substring_index(F.translate(F.rtrim(text, F.lit(spaces)), spaces, " " * len(spaces)), " ", -1)
+
+
+def _upto(sorted_numbers: Column, most: Column) -> Column:
+    """How many of the sorted numbers are below ``most``, by halving."""
+    start = F.struct(F.lit(0).alias("low"), F.size(sorted_numbers).alias("high"))
+
+    def halve(state: Column, _: Column) -> Column:
+        low, high = state["low"], state["high"]
+        middle = F.call_function("div", low + high, F.lit(2)).cast("int")
+        below = F.get(sorted_numbers, middle) < most
+        return F.when(low < high, F.struct(
+            F.when(below, middle + 1).otherwise(low).alias("low"),
+            F.when(below, high).otherwise(middle).alias("high"))).otherwise(state)
+    steps = F.sequence(F.lit(0), F.ceil(F.log2(F.size(sorted_numbers) + 1.0)).cast("int"))
+    return F.when(F.size(sorted_numbers) > 0, F.aggregate(
+        steps, start, halve, lambda state: state["low"])).otherwise(F.lit(0))
+
+
 def candidates(found: DataFrame) -> DataFrame:
-    """(id, h, start, end, token, known, patterns) of every candidate token of ``found``."""
+    """(id, h, start, end, token, known, patterns) of every candidate token of ``found``.
+
+    The work is in proportion to a text's length, but for a logarithm of its base spans.
+    """
     text = F.col("text")
-    parts = F.arrays_zip(F.split(text, TOKEN, -1).alias("piece"),
-                         F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0)).alias("match"))
-    kind = "array<struct<start:bigint,token:string,before:string>>"
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("before"),
-                     F.array().cast(kind).alias("out"))
-    def step(acc: Column, part: Column) -> Column:
-        begin = acc["at"] + F.char_length(part["piece"])
-        match = F.coalesce(part["match"], F.lit(""))
+    rows = found.filter(F.rlike(text, F.lit("[0-9@]")))
+    pieces, matches = _cut(text, TOKEN)
+    base = _ordered(F.col("base"))
+    rows = _once(rows, "id", "h", pieces.alias("pieces"), matches.alias("matches"), base.alias("base"))
+    rows = _once(rows, "id", "h", "pieces", "matches",
+                 F.transform("base", lambda b: b["start"]).alias("starts"),
+                 _running(F.transform("base", lambda b: b["end"]), F.greatest).alias("reach"))
+
+    def item(m: Column, i: Column) -> Column:
         # the word before: of the piece, or the token before where only blanks lie between
-        before = F.when(F.btrim(part["piece"], F.lit(" \t\n\x0b\x0c\r")) == "", acc["before"]).otherwise(
-            F.right(part["piece"], F.lit(BEFORE)))
-        item = F.array(F.struct(begin.alias("start"), match.alias("token"), before.alias("before")))
-        return F.struct((begin + F.char_length(match)).alias("at"), match.alias("before"), F.when(
-            part["match"].isNotNull(), F.concat(acc["out"], item.cast(kind))).otherwise(
-            acc["out"]).alias("out"))
-    rows = found.filter(F.rlike(text, F.lit("[0-9@]"))).select(
-        "id", "h", "base", F.explode(F.aggregate(parts, start, step, lambda a: a["out"]))
-        .alias("c"))
-    token = F.regexp_replace("c.token", r"[.,;:!?)\]}>\x27\x22]+$", "")
-    lead = F.char_length("c.token") - F.char_length(F.regexp_replace(
-        "c.token", r"^[(\[{<\x27\x22]+", ""))
-    rows = rows.select("id", "h", "base", (F.col("c.start") + lead).alias("start"), F.substring(
-        token, lead + 1, F.char_length("c.token")).alias("token"), "c.before")
-    end = F.col("start") + F.char_length("token")
-    rows = rows.withColumn("end", end)
-    known = F.exists("base", lambda b: (b["start"] < F.col("end")) & (b["end"] > F.col("start")))
-    word = F.regexp_extract(F.lower("before"), r"([^\x20\x09-\x0D]+)[\x20\x09-\x0D]*$", 1)
-    shape = F.regexp_replace(word, "[0-9]+", "9")
-    key = F.regexp_extract(F.lower("token"), r"^([^0-9=:@\x20]{2,32}[=:])", 1)
+        piece = F.get("pieces", i)
+        blank = F.btrim(piece, F.lit(" \t\n\x0b\x0c\r")) == ""
+        before = F.when(~blank, _last_word(piece)).otherwise(
+            F.when(i > 0, F.get("matches", i - 1)["match"]).otherwise(F.lit("")))
+        token = F.regexp_replace(m["match"], r"[.,;:!?)\]}>\x27\x22]+$", "")
+        lead = F.char_length(m["match"]) - F.char_length(F.regexp_replace(
+            m["match"], r"^[(\[{<\x27\x22]+", ""))
+        token = F.substring(token, lead + 1, F.char_length(m["match"]))
+        return F.struct((m["start"] + lead).alias("start"), token.alias("token"), before.alias("before"))
+
+    def marked(c: Column) -> Column:
+        end = c["start"] + F.char_length(c["token"])
+        earlier = _upto(F.col("starts"), end)
+        known = (earlier > 0) & F.coalesce(F.get("reach", earlier - 1) > c["start"], F.lit(False))
+        return F.struct(c["start"].alias("start"), end.alias("end"), c["token"].alias("token"),
+                        c["before"].alias("before"), known.alias("known"))
+    rows = _once(rows, "id", "h", "starts", "reach", F.transform("matches", item).alias("items"))
+    rows = rows.select("id", "h", F.explode(F.transform("items", marked)).alias("c"))
+    shape = F.regexp_replace(F.lower("c.before"), "[0-9]+", "9")
+    key = F.regexp_extract(F.lower("c.token"), r"^([^0-9=:@\x20]{2,32}[=:])", 1)
     patterns = F.array_compact(F.array(F.when(shape != "", F.concat(F.lit("before:"), shape)),
                                        F.when(key != "", F.concat(F.lit("key:"), key))))
-    return rows.filter(F.col("token") != "").select(
-        "id", "h", "start", "end", F.lower("token").alias("token"), known.alias("known"),
+    return rows.filter(F.col("c.token") != "").select(
+        "id", "h", "c.start", "c.end", F.lower("c.token").alias("token"), "c.known",
         patterns.alias("patterns"))
 
 
-def bootstrap(tokens: DataFrame, rounds: int = ROUNDS, confidence: float = CONFIDENCE,
-              least_known: int = LEAST_KNOWN) -> tuple[DataFrame, DataFrame]:
-    """(accepted patterns, known instances) after ``rounds`` over the graph of patterns and instances.
+def bootstrap(tokens: DataFrame, confidence: float = CONFIDENCE, least_known: int = LEAST_KNOWN
+              ) -> tuple[DataFrame, DataFrame]:
+    """(accepted patterns, known instances) once no round over their graph accepts another pattern.
+
+    What is known only grows and a pattern's instances are fixed, so accepted patterns stay so and
+    the rounds end.
 
     The graph has one row per distinct pair, so a very frequent token or context is one row per
     partner. An instance once known stays known.
@@ -153,18 +209,20 @@ def bootstrap(tokens: DataFrame, rounds: int = ROUNDS, confidence: float = CONFI
                     .groupBy("pattern", "token").agg(F.max("known").alias("seed")))
     known = durable(tokens.groupBy("token").agg(F.max("known").alias("seed")).filter("seed")
                     .select("token"))
-    accepted = None
-    for _ in range(rounds):
+    count = -1
+    while True:
         marked = graph.join(known.withColumn("hit", F.lit(True)), "token", "left")
         scores = marked.groupBy("pattern").agg(
             F.count(F.lit(1)).alias("n"), F.count("hit").alias("k"))
         accepted = durable(scores.filter(
             (F.col("k") >= least_known) & (F.col("k") >= confidence * F.col("n")))
             .select("pattern", (F.col("k") / F.col("n")).alias("confidence")))
+        last, count = count, accepted.count()
+        if last == count:
+            return accepted, known
         reached = (graph.join(accepted, "pattern")
                    .filter(F.rlike("token", F.lit(IDENTIFIER))).select("token"))
         known = durable(known.unionByName(reached).distinct())
-    return accepted, known
 
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -196,17 +254,17 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def redacted(text: Column, spans: Column, names: tuple[str, ...] = (*KINDS, CONTEXT)) -> Column:
     """``text`` with each span replaced by its kind in angle brackets; overlaps by the first."""
     kinds = F.array(*map(F.lit, names))
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
-    def step(acc: Column, s: Column) -> Column:
-        before = F.substring(text, (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int"))
-        fresh = s["start"] >= acc["at"]
-        return F.struct(
-            F.greatest(acc["at"], s["end"]).alias("at"),
-            F.when(fresh, F.concat(acc["out"], before, F.lit("<"), F.get(kinds, s["kind"]),
-                                   F.lit(">"))).otherwise(acc["out"]).alias("out"))
-    return F.when(F.size(spans) == 0, text).otherwise(F.aggregate(
-        spans, start, step, lambda a: F.concat(a["out"], F.substring(
-            text, (a["at"] + 1).cast("int"), F.char_length(text)))))
+    reach = _running(F.transform(spans, lambda s: s["end"]), F.greatest)
+    # how far the spans before reach; the last entry is the end of all of them
+    placed = F.zip_with(F.concat(F.array(F.lit(0).cast("bigint")), reach), spans, lambda at, s: F.struct(
+        at.alias("at"), s["start"].alias("start"), s["kind"].alias("kind")))
+
+    def part(p: Column) -> Column:
+        before = F.substring(text, (p["at"] + 1).cast("int"), (p["start"] - p["at"]).cast("int"))
+        return (F.when(p["start"].isNull(), F.substring(text, (p["at"] + 1).cast("int"), F.char_length(text)))
+                .when(p["start"] >= p["at"], F.concat(before, F.lit("<"), F.get(kinds, p["kind"]), F.lit(">")))
+                .otherwise(F.lit("")))
+    return F.when(F.size(spans) == 0, text).otherwise(F.array_join(F.transform(placed, part), ""))
 
 
 def count_of(spans: Column, kind: str) -> Column:

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from windrow.llm.common import words
+from windrow.llm.common import SPACE, words
 from windrow.operators.joins import attach
 from windrow.session import durable
 
@@ -38,7 +38,10 @@ def _repeated(w: Column) -> Column:
 
 
 def base_counts(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFrame:
-    """id, lang, text, w (words) and the five base counts.
+    """id, lang, w (words), rest, n_chars and the five base counts.
+
+    ``rest`` is the text without small letters and white space: whatever else is counted by
+    characters is counted in that little.
 
     Windows of words are compared by 64-bit hashes. Their hashes are sorted with their places, so
     that equal ones are neighbours; the marked places in order cover ``GRAM`` words each, less what
@@ -47,6 +50,8 @@ def base_counts(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> D
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"),
                        text.alias("text"), words(text).alias("w"))
+    rows = _once(rows, "id", "lang", "text", "w", F.regexp_replace(
+        "text", rf"[\p{{Ll}}{SPACE[1:]}+", "").alias("rest"))
     lines = F.filter(F.split("text", "\n", -1), lambda s: F.btrim(s, F.lit(" \t\x0b\x0c\r")) != "")
     rows = rows.withColumn("lines", lines).withColumn("grams", _repeated(F.col("w")))
     rows = rows.withColumn("placed", F.when(
@@ -61,13 +66,19 @@ def base_counts(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> D
                               (a["n"] + F.least(F.lit(GRAM), i - a["last"])).alias("n"),
                               i.alias("last")), lambda a: a["n"])
     return rows.select(
-        "id", "lang", "text", "w", F.size("w").cast("bigint").alias("n_words"),
+        "id", "lang", "w", "rest", F.char_length("text").cast("bigint").alias("n_chars"),
+        F.size("w").cast("bigint").alias("n_words"),
         F.char_length(F.array_join("w", "")).cast("bigint").alias("word_chars"),
-        F.regexp_count("text", F.lit("[#*$%&|<>]")).cast("bigint").alias("n_symbols"),
+        F.regexp_count("rest", F.lit("[#*$%&|<>]")).cast("bigint").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("bigint").alias("n_dup_lines"),
         F.coalesce(covered, F.lit(0)).cast("bigint").alias("n_repeat_words"))
 
 
+def _once(df: DataFrame, *columns: Column | str) -> DataFrame:
+    """The columns, computed once per row however often they are used later."""
+    return df.select(F.inline(F.array(F.struct(*columns))))
+
+
 def common_words(docs: DataFrame, text_col: str, lang_col: str, n: int = COMMON) -> DataFrame:
     """(lang, common): the ``n`` words in most texts of a language, lower-cased; ties by the word."""
     rows = docs.select(F.col(text_col).alias("text"),
@@ -97,16 +108,15 @@ def measured(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> Data
     common = slotted(durable(common_words(docs, text_col, lang_col)))
     rows = attach(base_counts(docs, id_col, text_col, lang_col), common, ["lang"],
                   spread=["id", "n_words", "word_chars"])
-    found = F.filter(words(F.lower("text")),
-                     lambda x: F.array_contains(F.get("slots", _slot(x)), x))
-    counts = {name: F.regexp_count("text", F.lit(p)).cast("bigint") for name, p in CLASSES.items()}
-    # the two frequent classes without a match per character
-    counts["space"] = (F.char_length("text") - F.col("word_chars")).cast("bigint")
-    counts["lower"] = (F.char_length("text") - F.char_length(F.regexp_replace(
-        "text", CLASSES["lower"] + "+", ""))).cast("bigint")
-    rows = rows.select("id", "lang", *BASE, "common", found.alias("found"),
-                       F.char_length("text").cast("bigint").alias("n_chars"),
-                       *[c.alias(f"c_{name}") for name, c in counts.items()])
+    longest = F.array_max(F.transform("common", lambda x: F.octet_length(x)))
+    rows = _once(rows, *rows.columns, longest.alias("longest"))
+    found = F.filter(F.transform("w", lambda x: F.lower(x)), lambda x: (
+        F.octet_length(x) <= F.col("longest")) & F.array_contains(F.get("slots", _slot(x)), x))
+    counts = {name: F.regexp_count("rest", F.lit(p)).cast("bigint") for name, p in CLASSES.items()}
+    counts["space"] = F.col("n_chars") - F.col("word_chars")
+    counts["lower"] = F.col("word_chars") - F.char_length("rest")
+    rows = _once(rows, "id", "lang", *BASE, "common", found.alias("found"), "n_chars",
+                 *[c.alias(f"c_{name}") for name, c in counts.items()])
     classes = [F.col(f"c_{name}") for name in CLASSES]
     rest = F.col("n_chars")
     for c in classes:

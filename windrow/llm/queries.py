@@ -25,9 +25,10 @@ def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:
     made = mixing.plan(table(spark, folder, "documents"), keep=["doc_id"])
-    words = F.sum(F.when(F.col("shard").isNotNull(), F.col("size")).otherwise(0))
-    return made.groupBy(F.col("doc.doc_id").alias("doc_id"), "h", "size", "source_size",
-                        "target").agg(words.alias("taken"), F.count("shard").alias("copies")).drop("h")
+    # of the copies of a row only the first one, or the row that is left out
+    return made.filter("copy is null or copy = 0").select(
+        "doc.doc_id", "size", "source_size", "target",
+        (F.col("size") * F.col("copies")).alias("taken"), "copies")
 
 
 def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
