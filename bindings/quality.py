@@ -3,7 +3,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from bindings.registry import SLICE_ROWS, near, near_all, near_sql, query, table
-from windrow.operators import quality
+from windrow.operators import quantiles, quality
 from windrow.operators.quality import Expectation
 
 
@@ -95,7 +95,7 @@ def _percentile_sql() -> str:
 def summary_percentiles(spark, folder):
     made = quality.exact_percentiles(
         table(spark, folder, "lineitem"), ["l_quantity", "l_extendedprice"],
-        [0.0, 0.25, 0.5, 0.75, 1.0], rows_per_slice=10 * SLICE_ROWS)
+        [0.0, 0.25, 0.5, 0.75, 1.0], gathered=SLICE_ROWS)
     return near_all(made, ["value"], 5)
 
 
@@ -117,6 +117,31 @@ def summary_approximate(spark, folder):
     return quality.summary(table(spark, folder, "lineitem"), ["l_quantity", "l_extendedprice"])
 
 
+_SHARES = (0.01, 0.25, 0.5, 0.75, 0.99)
+
+
+@query(" UNION ALL ".join(
+    f"SELECT '{c}' AS measure, {s}::DOUBLE AS share, count({c}) AS n, min({c})::DOUBLE AS least, "
+    f"max({c})::DOUBLE AS greatest, true AS near_rank FROM lineitem"
+    for c in ("l_quantity", "l_extendedprice") for s in _SHARES))
+def summary_sketch(spark, folder):
+    """Sketches per month, merged to the whole; each value's true rank is within 2 % of its share."""
+    items = table(spark, folder, "lineitem")
+    columns = ["l_quantity", "l_extendedprice"]
+    monthly = quantiles.sketches(items.withColumn("month", F.date_trunc("month", "l_shipdate")),
+                                 columns, ["month"])
+    made = quantiles.sketched_percentiles(quantiles.merged(monthly), _SHARES)
+    wanted = F.broadcast(made)             # one row per measure and share
+    long = items.select(F.inline(F.array(*[F.struct(
+        F.lit(c).alias("measure"), F.col(c).cast("double").alias("v")) for c in columns])))
+    below, upto = F.count(F.when(F.col("v") < F.col("value"), 1)), F.count(
+        F.when(F.col("v") <= F.col("value"), 1))
+    near_rank = ((below <= (F.col("share") + 0.02) * F.col("n"))
+                 & (upto >= (F.col("share") - 0.02) * F.col("n")))
+    return long.join(wanted, "measure").groupBy(
+        "measure", "share", "n", "least", "greatest").agg(near_rank.alias("near_rank"))
+
+
 @query("""
 SELECT metric, value FROM (
   SELECT count(*)::DOUBLE AS rows, 6::DOUBLE AS columns,

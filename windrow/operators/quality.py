@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from windrow.operators.ordering import cut_points, running_sums, slice_of
+from windrow.operators.quantiles import exact_percentiles  # noqa: F401
 
 
 def _nan_test(df: DataFrame, name: str) -> Column:
@@ -132,44 +131,3 @@ def summary(df: DataFrame, columns: Sequence[str],
             statistics: Sequence[str] = ("min", "25%", "50%", "75%", "max")) -> DataFrame:
     """Spark's summary with approximate percentiles."""
     return df.select(*columns).summary(*statistics)
-
-
-def exact_percentiles(df: DataFrame, columns: Sequence[str], shares: Sequence[float],
-                      rows_per_slice: int | None = None) -> DataFrame:
-    """Exact linear-interpolated percentiles: rows (measure, share, value).
-
-    The built-in exact aggregate keeps all distinct values of a column in one buffer. Here the
-    values are first reduced to (value, count), cut into slices by value, and numbered by running
-    sums; a percentile is then the value whose numbers cover the two wanted ranks.
-    """
-    picks = None
-    for name in columns:
-        one = df.select(F.col(name).cast("double").alias("value")).filter(
-            F.col("value").isNotNull() & ~F.isnan("value"))
-        counted = one.groupBy("value").agg(F.count(F.lit(1)).alias("n"))
-        counted = counted.withColumn("measure", F.lit(name))
-        cuts, _ = cut_points(one, "value", **(
-            {} if rows_per_slice is None else {"rows_per_slice": rows_per_slice}))
-        sliced = slice_of(counted, "value", cuts, "part") if cuts else counted
-        ranked = running_sums(sliced, ["measure"], [F.col("value")], {"upto": "n"},
-                              "part" if cuts else None)
-        total = one.agg(F.count(F.lit(1)).alias("total")).scalar()
-        ranked = ranked.select("measure", "value", "n", "upto", total.alias("total"))
-        wanted = [(F.lit(float(s)), F.lit(float(s)) * (F.col("total") - 1)) for s in shares]
-        first = F.col("upto") - F.col("n")
-
-        def covers(rank: Column) -> Column:
-            return (F.col("upto") > F.floor(rank)) & (first <= F.ceil(rank))
-
-        any_share = reduce(Column.__or__, [covers(rank) for _, rank in wanted])
-        covering = ranked.filter(any_share).select("*", F.inline(F.array(*[
-            F.struct(share.alias("share"), rank.alias("rank")) for share, rank in wanted])))
-        covering = covering.filter(covers(F.col("rank")))
-        picks = covering if picks is None else picks.unionByName(covering)
-    weight = F.max(F.col("rank") - F.floor("rank"))
-    low, high = F.min("value"), F.max("value")
-    found = picks.groupBy("measure", "share").agg((low + (high - low) * weight).alias("value"))
-    # a column without a value has null percentiles
-    asked = df.sparkSession.createDataFrame(
-        [(name, float(s)) for name in columns for s in shares], "measure string, share double")
-    return F.broadcast(asked).join(found, ["measure", "share"], "left")
