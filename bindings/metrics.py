@@ -241,18 +241,41 @@ def bootstrap_ci_binary(spark, folder):
 _T = f"(1 / (1 + {numeric.ERF_P} * sqrt(statistic / 2)))"
 
 
-@query(f"""
-WITH p AS (SELECT label = {argmax_sql(1)} AS a, label = {argmax_sql(11)} AS b FROM embeddings),
+def _mcnemar_sql(pairs: str, missing: str = "") -> str:
+    return f"""
+WITH {pairs},
 t AS (SELECT count(*) FILTER (a AND b) AS b00, count(*) FILTER (a AND NOT b) AS b01,
-             count(*) FILTER (NOT a AND b) AS b10, count(*) FILTER (NOT a AND NOT b) AS b11 FROM p),
+             count(*) FILTER (NOT a AND b) AS b10, count(*) FILTER (NOT a AND NOT b) AS b11
+             {missing} FROM p),
 s AS (SELECT *, CASE WHEN b01 + b10 = 0 THEN 0.0
              ELSE (abs(b01 - b10) - 1) ** 2 / (b01 + b10)::DOUBLE END AS statistic FROM t),
 v AS (SELECT *, CASE WHEN b01 + b10 = 0 THEN 1.0 ELSE {_polynomial_sql(
       tuple(reversed(numeric.ERF_COEFFICIENTS)), _T)} * {_T} * exp(-statistic / 2) END AS p FROM s)
 SELECT 'first' AS model_a, 'second' AS model_b, b00, b01, b10, b11,
+       {"n_only_a, n_only_b, n_null, " if missing else ""}
        {near_sql('statistic', 4)} AS statistic, {near_sql('p', 6)} AS p_value,
-       CASE WHEN p < 0.05 THEN 'significant' ELSE 'not significant' END AS decision FROM v""")
+       CASE WHEN p < 0.05 THEN 'significant' ELSE 'not significant' END AS decision FROM v"""
+
+
+@query(_mcnemar_sql(f"p AS (SELECT label = {argmax_sql(1)} AS a, label = {argmax_sql(11)} AS b "
+                    "FROM embeddings)"))
 def mcnemar(spark, folder):
     made = evaluation.mcnemar(predictions(spark, folder), predictions(spark, folder, 11), "vec_id",
-                              names=("first", "second"))
+                              names=("first", "second")).drop("n_only_a", "n_only_b", "n_null")
+    return near_all(near_all(made, ["statistic"], 4), ["p_value"], 6)
+
+
+@query(_mcnemar_sql(f"""
+x AS (SELECT vec_id, CASE WHEN vec_id % 11 <> 2 THEN label = {argmax_sql(1)} END AS a FROM embeddings
+      WHERE vec_id % 7 <> 3),
+y AS (SELECT vec_id, label = {argmax_sql(11)} AS b FROM embeddings WHERE vec_id % 5 <> 1),
+p AS (SELECT a, b, x.vec_id AS i, y.vec_id AS j FROM x FULL JOIN y ON x.vec_id = y.vec_id)""", """,
+             count(*) FILTER (j IS NULL) AS n_only_a, count(*) FILTER (i IS NULL) AS n_only_b,
+             count(*) FILTER (i IS NOT NULL AND j IS NOT NULL AND (a IS NULL OR b IS NULL)) AS n_null"""))
+def mcnemar_unmatched(spark, folder):
+    """Two prediction tables that lack different rows, one of them some predictions as well."""
+    first = predictions(spark, folder).filter("vec_id % 7 <> 3").withColumn(
+        "prediction", F.when(F.col("vec_id") % 11 != 2, F.col("prediction")))
+    second = predictions(spark, folder, 11).filter("vec_id % 5 <> 1")
+    made = evaluation.mcnemar(first, second, "vec_id", names=("first", "second"))
     return near_all(near_all(made, ["statistic"], 4), ["p_value"], 6)

@@ -192,3 +192,16 @@ def test_all_reports(predictions):
     curves = reports["roc_curves"]
     assert curves.filter("class = 'MACRO_AVG'").count() == 200
     assert curves.columns == ["class", "fpr", "tpr", "threshold", "auc"]
+
+
+def test_mcnemar_counts_what_has_no_partner(spark):
+    first = spark.createDataFrame(
+        [(1, 0, 0), (2, 0, 1), (3, 1, None), (4, 1, 1), (None, 1, 1)], "i int, label int, prediction int")
+    second = spark.createDataFrame([(1, 0, 1), (3, 1, 1), (9, 0, 0)], "i int, label int, prediction int")
+    r = evaluation.mcnemar(first, second, "i").first()
+    assert (r.b00, r.b01, r.b10, r.b11) == (0, 1, 0, 0)
+    assert (r.n_only_a, r.n_only_b, r.n_null) == (2, 1, 2)
+    with pytest.raises(Exception, match="not unique"):
+        evaluation.mcnemar(first.unionByName(first), second, "i").collect()
+    none = evaluation.mcnemar(first.limit(0), second.limit(0), "i").first()
+    assert (none.b00, none.n_null, none.decision) == (0, 0, "not significant")

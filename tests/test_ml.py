@@ -58,7 +58,8 @@ def test_suite_ranks_models_and_keeps_the_best(spark, separable, tmp_path):
 def test_the_grid_reaches_the_classifier_inside_one_vs_rest(separable):
     cv = training.cross_validator(training.linear_svm(grid=(0.0, 50.0), iterations=5), COLUMNS, "kind",
                                   3, folds=2)
-    fitted = cv.getEstimator().fit(separable, cv.getEstimatorParamMaps())
+    fitted = cv.getEstimator().fit(cv.preparing(separable).transform(separable),
+                                   cv.getEstimatorParamMaps())
     norms = [m.stages[-1].models[0].coefficients.norm(2) for m in fitted]
     assert norms[0] > 2 * norms[1]
 
@@ -130,3 +131,25 @@ def test_registered_runs_use_full_settings(monkeypatch):
     assert [(r["cores"], r["share_per_core"]) for r in seen["time_weak"]] == [
         (1, 0.25), (2, 0.25), (4, 0.25)]
     assert metrics.REPLICATES == 1000
+
+
+def test_a_stored_model_and_its_reports(spark, separable, tmp_path):
+    """Train, store, load, score by what was loaded, and read all twelve reports back."""
+    from windrow.plans import modelling
+    columns, target, key = COLUMNS, "kind", ["id"]
+    train, test = splits.split(separable, key)
+    folder = str(tmp_path / "run")
+    paths = modelling.train_and_report(train, test, columns, target, key, folder, [
+        training.logistic_regression((0.01,), 10), training.random_forest((3,), 3)], replicates=20)
+    assert set(paths) == set(modelling.REPORTS) and len(paths) == 12
+    back = {n: spark.read.option("header", True).csv(p) for n, p in paths.items()}
+    assert all(df.count() > 0 for df in back.values())
+    model, manifest = modelling.load_model(folder)
+    assert manifest.columns == list(columns) and manifest.model in ("Logistic Regression", "Random Forest")
+    stored = spark.read.parquet(f"{folder}/predictions")
+    again = modelling.score(test, folder, key)
+    assert stored.count() == test.count() and stored.exceptAll(again.select(stored.columns)).count() == 0
+    run = back["training_run"].first()
+    assert int(run.n_scored) == test.count() and float(run.f1_weighted) > 0.8
+    with pytest.raises(ValueError, match="missing"):
+        modelling.score(test.drop(columns[0]), folder)

@@ -1,6 +1,7 @@
 import glob
 import json
 import os
+import shutil
 
 import pytest
 from conftest import rows_of
@@ -126,3 +127,30 @@ def test_lines_and_tables(spark, tmp_path):
     assert rows_of(readers.read_lines(spark, f"{tmp_path}/x.txt")) == [("1,2",), ("3,4",)]
     writers.write_table(spark.range(3), f"{tmp_path}/t")
     assert readers.read_table(spark, f"{tmp_path}/t").count() == 3
+
+
+def test_read_back_is_enforced_in_one_pass(spark, tmp_path):
+    """What is damaged between writing and reading raises; the input is computed once."""
+    calls = spark.sparkContext.accumulator(0)
+    df = spark.createDataFrame([(i, f"k{i % 3}", None if i % 5 else float(i)) for i in range(200)],
+                               "i int, k string, x double")
+
+    def good(rows, path):
+        calls.add(1)
+        writers.write_partitioned(rows, path, ["k"])
+    back, facts = writers.write_verified(df, str(tmp_path / "good"), good)
+    assert back.count() == 200 and calls.value == 1 and all(f[3] for f in facts)
+    assert [f[0] for f in facts] == ["n_rows", "n_columns", "checksum"]
+
+    def lossy(rows, path):
+        good(rows, path)
+        shutil.rmtree(f"{path}/k=k1")
+    with pytest.raises(writers.WriteError, match="n_rows 133 instead of 200"):
+        writers.write_verified(df, str(tmp_path / "lossy"), lossy)
+
+    def altered(rows, path):
+        good(rows.withColumn("x", F.coalesce("x", F.lit(0.0))), path)
+    with pytest.raises(writers.WriteError, match="checksum"):
+        writers.write_verified(df, str(tmp_path / "altered"), altered)
+    empty, facts = writers.write_verified(df.limit(0), str(tmp_path / "none"), writers.write_table)
+    assert empty.count() == 0 and facts[0][1] == 0

@@ -6,7 +6,7 @@ import time
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.ml import Estimator, Pipeline
+from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import (
     LinearSVC, LogisticRegression, MultilayerPerceptronClassifier, OneVsRest,
     RandomForestClassifier,
@@ -89,7 +89,29 @@ class FoldedCrossValidator(CrossValidator):
     """Cross-validation on the folds already marked in the data.
 
     MLlib checks a fold column with a Python function per row; here the folds are plain filters.
+    Stages given by :meth:`prepared_by` are fitted once, on all rows, and what they make is kept as
+    a narrow table of label, vector and fold while the folds are trained on it.
     """
+    _before: tuple = ()
+
+    def prepared_by(self, stages: Sequence) -> "FoldedCrossValidator":
+        self._before = tuple(stages)
+        return self
+
+    def preparing(self, dataset: DataFrame) -> PipelineModel:
+        return Pipeline(stages=list(self._before)).fit(dataset)
+
+    def _fit(self, dataset: DataFrame):
+        if not self._before:
+            return super()._fit(dataset)
+        before = self.preparing(dataset)
+        narrow = before.transform(dataset).select(LABEL, self._before[-1].getOutputCol(), FOLD).persist()
+        try:
+            made = super()._fit(narrow)
+        finally:
+            narrow.unpersist()
+        made.bestModel = PipelineModel(stages=[*before.stages, *made.bestModel.stages])
+        return made
 
     def _kFold(self, dataset: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
         fold = F.col(FOLD)
@@ -99,19 +121,20 @@ class FoldedCrossValidator(CrossValidator):
 
 def cross_validator(spec: ModelSpec, columns: Sequence[str], target: str, classes: int,
                     folds: int = 3, parallelism: int = 2, invalid: str = "keep", scale: bool = True) -> FoldedCrossValidator:
-    """Grid search on weighted F1 over the whole preparation and classifier pipeline.
+    """Grid search on weighted F1; the best model is a pipeline from the raw columns on.
 
-    The data to fit carries the folds of :func:`with_folds`.
+    The data to fit carries the folds of :func:`with_folds`. Labels are indexed and vectors
+    assembled once; what learns from the rows, the scaler included, is fitted on each fold.
     """
     classifier = spec.build(len(columns), classes)
     owner = classifier.getClassifier() if spec.nested else classifier
     grid = ParamGridBuilder()
     for name, values in spec.grid.items():
         grid.addGrid(owner.getParam(name), list(values))
+    index, gather, *learned = preparation(columns, target, invalid, scale)
     return FoldedCrossValidator(
-        estimator=Pipeline(stages=[*preparation(columns, target, invalid, scale), classifier]),
-        estimatorParamMaps=grid.build(), evaluator=f1_evaluator(), numFolds=folds,
-        parallelism=parallelism)
+        estimator=Pipeline(stages=[*learned, classifier]), estimatorParamMaps=grid.build(),
+        evaluator=f1_evaluator(), numFolds=folds, parallelism=parallelism).prepared_by([index, gather])
 
 
 def f1_evaluator(metric: str = "f1") -> MulticlassClassificationEvaluator:

@@ -114,23 +114,40 @@ def mcnemar(first: DataFrame, second: DataFrame, row_id: str, correction: bool =
             prediction: str = "prediction", level: float = 0.05) -> DataFrame:
     """Paired test of two classifiers on the same rows, matched by row id.
 
-    b00 both right, b01 only the first right, b10 only the second right, b11 both wrong.
+    b00 both right, b01 only the first right, b10 only the second right, b11 both wrong. Rows that
+    only one table has are counted as n_only_a and n_only_b, and those without an id, or paired
+    without a label or prediction, as n_null; an id that one table has twice is an error.
     """
-    right_a = first.select(row_id, (F.col(prediction) == F.col(label)).alias("a"))
-    right_b = second.select(row_id, (F.col(prediction) == F.col(label)).alias("b"))
-    a, b = F.col("a"), F.col("b")
+    def marked(df: DataFrame, own: str, other: str) -> DataFrame:
+        return df.select(F.col(row_id).alias("_id"), (F.col(prediction) == F.col(label)).alias(own),
+                         F.lit(None).cast("boolean").alias(other),
+                         F.lit(1).alias(f"n_{own}"), F.lit(0).alias(f"n_{other}"))
+    both = marked(first, "a", "b").unionByName(marked(second, "b", "a"))
+    known = both.filter("_id is not null").groupBy("_id").agg(
+        F.max("a").alias("a"), F.max("b").alias("b"), F.sum("n_a").alias("n_a"),
+        F.sum("n_b").alias("n_b"))
+    unknown = both.filter("_id is null").select("_id", "a", "b", *[
+        F.col(c).cast("bigint").alias(c) for c in ("n_a", "n_b")])
+    rows = known.unionByName(unknown)
+    a, b, paired = F.col("a"), F.col("b"), (F.col("n_a") > 0) & (F.col("n_b") > 0)
 
     def times(condition: Column) -> Column:
         return F.count(F.when(condition, 1))
 
-    table = right_a.join(right_b, row_id).agg(
+    counted = rows.agg(
         times(a & b).alias("b00"), times(a & ~b).alias("b01"),
-        times(~a & b).alias("b10"), times(~a & ~b).alias("b11"))
+        times(~a & b).alias("b10"), times(~a & ~b).alias("b11"),
+        times((F.col("n_b") == 0) & F.col("_id").isNotNull()).alias("n_only_a"),
+        times((F.col("n_a") == 0) & F.col("_id").isNotNull()).alias("n_only_b"),
+        times(F.col("_id").isNull() | (paired & (a.isNull() | b.isNull()))).alias("n_null"),
+        F.coalesce(F.max(F.greatest("n_a", "n_b")), F.lit(0)).alias("_most"))
+    table = counted.withColumn("b00", F.when(F.col("_most") <= 1, F.col("b00")).otherwise(
+        F.raise_error(F.lit(f"{row_id} is not unique in a prediction table")).cast("bigint")))
     differing = F.col("b01") + F.col("b10")
     gap = F.abs(F.col("b01") - F.col("b10")) - (1 if correction else 0)
     tested = table.withColumn("statistic", ratio_or_zero(gap * gap, differing))
     p_value = F.when(differing == 0, F.lit(1.0)).otherwise(chi2_tail(F.col("statistic")))
     return tested.select(
         F.lit(names[0]).alias("model_a"), F.lit(names[1]).alias("model_b"),
-        "b00", "b01", "b10", "b11", "statistic", p_value.alias("p_value"),
-        F.when(p_value < level, "significant").otherwise("not significant").alias("decision"))
+        "b00", "b01", "b10", "b11", "n_only_a", "n_only_b", "n_null", "statistic",
+        p_value.alias("p_value"), F.when(p_value < level, "significant").otherwise("not significant").alias("decision"))

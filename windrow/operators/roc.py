@@ -11,7 +11,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from windrow.functions.numeric import ratio_or
+from windrow.operators.joins import is_small
 from windrow.operators.ordering import ROWS_PER_SLICE, cut_points, running_sums, slice_of
+from windrow.session import durable
 
 GRID = 200
 
@@ -31,16 +33,19 @@ def score_counts(long: DataFrame) -> DataFrame:
 
 
 def cumulative_counts(long: DataFrame, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
-    """(class, score, pos, neg, tp, fp, n_pos, n_neg), counted from the highest score down."""
-    counts = score_counts(long).withColumn("_down", -F.col("score"))
-    cuts, _ = cut_points(long.select((-F.col("score").cast("double")).alias("_down")), "_down",
-                         rows_per_slice)
+    """(class, score, pos, neg, tp, fp, n_pos, n_neg), counted from the highest score down.
+
+    The predictions are read once, to count the rows at each distinct score. The result is durable:
+    points, areas and the macro curve all start from it.
+    """
+    counts = durable(score_counts(long).withColumn("_down", -F.col("score")))
+    cuts, _ = cut_points(counts, "_down", rows_per_slice)
     sliced = slice_of(counts, "_down", cuts, "_slice") if cuts else counts
     summed = running_sums(sliced, ["class"], [F.col("_down")], {"tp": "pos", "fp": "neg"},
                           "_slice" if cuts else None)
     sizes = counts.groupBy("class").agg(F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
-    return summed.join(sizes, "class").select(
-        "class", "score", "pos", "neg", "tp", "fp", "n_pos", "n_neg")
+    return durable(summed.join(F.broadcast(sizes) if is_small(sizes) else sizes, "class").select(
+        "class", "score", "pos", "neg", "tp", "fp", "n_pos", "n_neg"))
 
 
 def roc_points(cumulative: DataFrame) -> DataFrame:

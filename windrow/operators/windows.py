@@ -7,6 +7,7 @@ windows are combined on the map side.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -18,6 +19,10 @@ from windrow.operators.joins import attach, is_small, join_rows, spread_join
 from windrow.session import durable
 
 
+COLUMNS_AT_ONCE = 12   # whose statistics one compiled aggregate still holds
+STATISTICS = ("mean", "std", "min", "max")
+
+
 @dataclass(frozen=True)
 class WindowSpec:
     """Windows of ``seconds`` inside segments given by ``segment`` columns."""
@@ -74,8 +79,28 @@ def magnitude_areas(groups: Mapping[str, Sequence[str]]) -> list[Column]:
 def aggregate_windows(windowed: DataFrame, spec: WindowSpec, columns: Sequence[str],
                       groups: Mapping[str, Sequence[str]] | None = None,
                       count: str = "sample_count") -> DataFrame:
-    return windowed.groupBy(*spec.keys).agg(
-        F.count(F.lit(1)).alias(count), *statistics(columns), *magnitude_areas(groups or {}))
+    """Count, statistics and magnitude areas per window.
+
+    Many columns are aggregated in sets, joined by the window, which the sets are partitioned by
+    already: an aggregate with hundreds of buffers is too large to be compiled, and slower than
+    several scans of few columns each.
+    """
+    areas = dict(groups or {})
+    sets = max(1, math.ceil(len(columns) / COLUMNS_AT_ONCE))
+    if sets == 1:
+        return windowed.groupBy(*spec.keys).agg(
+            F.count(F.lit(1)).alias(count), *statistics(columns), *magnitude_areas(areas))
+    # a struct of the keys joins like a key, and equals itself where one is null
+    keyed = windowed.withColumn("_key", F.struct(*spec.keys))
+    names, made = list(areas), None
+    for i in range(sets):
+        counted = [F.count(F.lit(1)).alias(count)] if i == 0 else []
+        part = keyed.groupBy("_key").agg(
+            *counted, *statistics(columns[i::sets]),
+            *magnitude_areas({n: areas[n] for n in names[i::sets]}))
+        made = part if made is None else made.join(part, "_key")
+    order = [f"{c}_{kind}" for c in columns for kind in STATISTICS] + [f"{n}_sma" for n in names]
+    return made.select("_key.*", count, *order)
 
 
 def least_rows(seconds: float, rate: float, fill: float) -> int:

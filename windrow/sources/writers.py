@@ -4,11 +4,13 @@ together and splits a key that is too large for one task."""
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from windrow.session import durable
+
 ROWS_PER_FILE = 5_000_000
 
 
@@ -44,6 +46,12 @@ def write_report(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
 
 
+def write_csv(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> None:
+    """A table of any size as CSV files with a header."""
+    (df.write.mode("overwrite").option("header", True).option("maxRecordsPerFile", rows_per_file)
+     .csv(path))
+
+
 def export_reports(reports: Mapping[str, DataFrame], folder: str) -> list[str]:
     """Write every report to ``folder/name`` and return the paths."""
     paths = []
@@ -73,3 +81,38 @@ def verify_written(spark: SparkSession, path: str, expected: DataFrame,
     return back.join(F.broadcast(want), "fact").select(
         "fact", "written", "expected", F.col("written").eqNullSafe(F.col("expected"))
         .alias("passed"))
+
+
+class WriteError(RuntimeError):
+    """What was read back is not what was written."""
+
+
+def _fingerprint(df: DataFrame) -> list[Column]:
+    """Rows, columns, and a sum of row hashes that does not depend on the order of rows."""
+    names = sorted(df.columns)
+    # position and emptiness of a null have to count as well
+    parts = [p for c in names for p in (F.col(f"`{c}`").cast("string"), F.col(f"`{c}`").isNull())]
+    return [F.count(F.lit(1)).alias("n_rows"), F.max(F.lit(len(names))).alias("n_columns"),
+            F.sum(F.xxhash64(*parts).cast("decimal(38,0)")).alias("checksum")]
+
+
+def write_verified(df: DataFrame, path: str, write: Callable[[DataFrame, str], None]
+                   ) -> tuple[DataFrame, list[tuple]]:
+    """Write by ``write(df, path)``, read back, and raise :class:`WriteError` where they differ.
+
+    The rows are made durable first and both written and counted from there, so the input is
+    computed once. (Counting them on their way, by an observation, would leave the session with an
+    object that linear support vector models of that session then fail to serialise.) Returns the
+    table as read, and (fact, written, expected, passed) per fact.
+    """
+    kept = durable(df)
+    write(kept, path)
+    expected = kept.agg(*_fingerprint(kept)).first().asDict()
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    written = back.agg(*_fingerprint(back)).first().asDict()
+    facts = [(k, None if written[k] is None else int(written[k]),
+              None if expected[k] is None else int(expected[k])) for k in written]
+    wrong = [f for f in facts if f[1] != f[2]]
+    if wrong:
+        raise WriteError(f"{path}: " + "; ".join(f"{k} {w} instead of {e}" for k, w, e in wrong))
+    return back, [(*f, True) for f in facts]
