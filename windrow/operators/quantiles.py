@@ -1,8 +1,9 @@
 """Exact percentiles of many columns by narrowing ranks, and sketches that add up.
 
 Exact: every wanted rank starts in the whole range of its column. A round cuts each range that
-still holds many values at approximate percentiles of what lies in it, counts the parts, and goes
-on with the part that holds the rank. All columns and ranks go through the same scans, so the
+still holds many values into parts of equal width, counts them, and goes on with the part that
+holds the rank. Where that did not narrow a range enough, as with very uneven values, the next cuts
+are at approximate percentiles of what lies in it. All columns and ranks go through the same scans, so the
 number of scans grows with the logarithm of the rows and not with the columns. A value that many
 rows share is a part of its own. The driver sees counts of parts, never values in number.
 
@@ -18,7 +19,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-PARTS = 256            # parts a range is cut into, of about equal counts
+PARTS = 256            # parts of about equal counts that a range is cut into
+WIDTHS = 512           # parts of equal width
+NARROWED = 16          # a round has to leave at most one in so many values
 GATHERED = 20_000      # values of a range that are sorted in one piece
 
 
@@ -56,15 +59,34 @@ def _slot(edges: Column, v: Column) -> Column:
         F.get(edges, p - 1) == v, 1).otherwise(0))[0]
 
 
-def _refined(values: DataFrame, ranges: list[dict]) -> list[dict]:
-    """Cut the ranges into parts; those that still hold a wanted rank."""
+def _by_width(values: DataFrame, ranges: list[dict]) -> list:
+    """Counts of the parts of equal width of each range."""
+    # halves, because a difference of large numbers may not be one
+    at = (F.col("v") / 2 - F.col("lo") / 2) / (F.col("hi") / 2 - F.col("lo") / 2)
+    slot = F.least(F.floor(at * WIDTHS), F.lit(WIDTHS - 1).cast("bigint")).cast("int")
+    return _counted(_within(values, ranges), slot)
+
+
+def _counted(values: DataFrame, slot: Column) -> list:
+    return values.groupBy("m", "k", slot.alias("slot")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect()
+
+
+def _by_count(values: DataFrame, ranges: list[dict]) -> list:
+    """Counts of the parts of each range between its approximate percentiles, and at them."""
     asked = [float(i / PARTS) for i in range(PARTS + 1)]
     edges = {(r["m"], r["k"]): sorted(set(r["edges"])) for r in _within(values, ranges).groupBy(
         "m", "k").agg(F.percentile_approx("v", asked, 4 * PARTS).alias("edges")).collect()}
     cut = [{**r, "edges": edges[r["m"], r["k"]]} for r in ranges]
-    counted = _within(values, cut, edges="array<double>").groupBy(
-        "m", "k", _slot(F.col("edges"), F.col("v")).alias("slot")).agg(
-        F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect()
+    return _counted(_within(values, cut, edges="array<double>"), _slot(F.col("edges"), F.col("v")))
+
+
+def _refined(values: DataFrame, ranges: list[dict]) -> list[dict]:
+    """Cut the ranges into parts; those that still hold a wanted rank."""
+    ranges = _numbered(ranges)
+    uneven = [r for r in ranges if r["uneven"]]
+    even = [r for r in ranges if not r["uneven"]]
+    counted = [*(_by_width(values, even) if even else []), *(_by_count(values, uneven) if uneven else [])]
     parts: dict[tuple, list] = {}
     for row in sorted(counted, key=lambda r: r["slot"]):
         parts.setdefault((row["m"], row["k"]), []).append(row)
@@ -75,9 +97,10 @@ def _refined(values: DataFrame, ranges: list[dict]) -> list[dict]:
             ranks = [x for x in r["ranks"] if before <= x < before + part["n"]]
             if ranks:
                 found.append({"m": r["m"], "lo": part["lo"], "hi": part["hi"], "n": part["n"],
-                              "before": before, "ranks": ranks})
+                              "before": before, "ranks": ranks,
+                              "uneven": part["n"] * NARROWED > r["n"]})
             before += part["n"]
-    return _numbered(found)
+    return found
 
 
 def _numbered(ranges: list[dict]) -> list[dict]:
@@ -95,7 +118,7 @@ def values_at(df: DataFrame, columns: Sequence[str], ranks, gathered: int = GATH
                                     F.max("v").alias("hi")).collect()
     counts = {r["m"]: r["n"] for r in facts}
     ranges = _numbered([{"m": r["m"], "lo": r["lo"], "hi": r["hi"], "n": r["n"], "before": 0,
-                         "ranks": sorted(set(ranks(r["n"])))} for r in facts])
+                         "uneven": False, "ranks": sorted(set(ranks(r["n"])))} for r in facts])
     picked: dict[tuple[int, int], float] = {}
     while True:
         for r in ranges:
@@ -106,7 +129,7 @@ def values_at(df: DataFrame, columns: Sequence[str], ranks, gathered: int = GATH
         small = [r for r in ranges if r["n"] <= gathered]
         if not large:
             break
-        ranges = _numbered([*_refined(values, _numbered(large)), *small])
+        ranges = _numbered([*_refined(values, large), *small])
     if small:
         places = [{**r, "places": [x - r["before"] for x in r["ranks"]]} for r in small]
         ordered = _within(values, places, places="array<bigint>").groupBy("m", "k").agg(
