@@ -87,4 +87,4 @@ def weak_scaling_run(spark, folder):
 def seed_stability(spark, folder):
     df, columns = vectors(spark, folder)
     return scaling.seed_stability(df, columns, "label", ["vec_id"],
-                                  training.perceptron(iterations=(50,))).drop("train_sec")
+                                  training.perceptron(iterations=(100,))).drop("train_sec")
