@@ -2,9 +2,10 @@
 
 Texts are lower-cased, everything but letters becomes one space, and the n-grams of two and three
 characters are hashed into ``2**bits`` buckets. Counts per language and bucket are summed by Spark
-from a bounded sample of labelled rows; the smoothed log-probability matrix is a few megabytes and
-is sent to every task once. Scoring gathers the matrix at the n-grams of a whole batch of texts and
-adds up per text.
+from a bounded sample of labelled rows. The smoothed log-probability matrix is sent to every task,
+at most ``PER_PASS`` languages of it at a time; with more languages the rows are scored in several
+passes that carry the best language so far. Scoring gathers the matrix at the n-grams of a whole
+batch of texts and adds up per text.
 """
 
 from __future__ import annotations
@@ -17,11 +18,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from windrow.llm.common import held_out, map_arrow, sliced
+from windrow.operators.joins import attach
+from windrow.session import durable
 
 UNKNOWN = "und"
 BITS = 16
 SAMPLE_PER_LANGUAGE = 5_000    # labelled rows a language is learned from, about
-MOST_LANGUAGES = 1_000         # bounds the broadcast matrix
+PER_PASS = 1_000               # languages whose part of the matrix is broadcast at once
 EVIDENCE = 200.0               # n-grams after which more text no longer sharpens the score
 _LETTERS = None
 
@@ -78,14 +81,17 @@ class Model:
     log_prob: np.ndarray
     bits: int = BITS
 
-    def score(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
-        """Language and probability of each text.
+    def parts(self, size: int) -> list[Model]:
+        """Models of at most ``size`` languages each, in the order of the languages."""
+        return [Model(self.languages[k:k + size], self.prior[k:k + size],
+                      self.log_prob[k:k + size], self.bits)
+                for k in range(0, len(self.languages), size)]
 
-        The log-likelihood counts as that of at most ``EVIDENCE`` n-grams. A text without a letter
-        is ``und`` with score 0; so is every text when no language was learned.
+    def totals(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Log-probability of each text and language, and which texts have a letter.
+
+        The log-likelihood counts as that of at most ``EVIDENCE`` n-grams.
         """
-        if not self.languages:
-            return [UNKNOWN] * len(texts), np.zeros(len(texts))
         buckets, whose, has = ngrams(texts, self.bits)
         order = np.argsort(whose, kind="stable")
         buckets, whose = buckets[order], whose[order]
@@ -97,11 +103,7 @@ class Model:
             for k, row in enumerate(self.log_prob):
                 totals[filled, k] = np.add.reduceat(row[buckets], starts, dtype=np.float64)
         totals *= np.minimum(1.0, EVIDENCE / np.maximum(counts, 1))[:, None]
-        totals += self.prior
-        best = totals.argmax(1)
-        share = np.exp(totals - totals.max(1, keepdims=True))
-        score = np.where(has, 1 / share.sum(1), 0.0)
-        return [self.languages[b] if h else UNKNOWN for b, h in zip(best, has)], score
+        return totals + self.prior, has
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
@@ -109,23 +111,20 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     """Learn from labelled rows outside the held-out fold, about ``per_language`` of each language.
 
     The sample is taken by a hash of id and text, so reruns agree. Rows whose language or text is
-    null teach nothing. Raises when there are more than ``MOST_LANGUAGES`` languages.
+    null teach nothing. The driver holds one line of the matrix per language.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
                        F.col(lang_col).cast("string").alias("lang")).filter(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out("id"))
-    have = rows.groupBy("lang").count().limit(MOST_LANGUAGES + 1).collect()
-    if len(have) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
-    languages = sorted(r["lang"] for r in have)
+    have = durable(rows.groupBy("lang").count())
+    count = {r["lang"]: r["count"] for r in have.collect()}
+    languages = sorted(count)
     if not languages:
         return Model([], np.zeros(0), np.zeros((0, 1 << bits)), bits)
-    total = sum(r["count"] for r in have)
-    count = {r["lang"]: r["count"] for r in have}
-    share = F.create_map(*[x for name in languages
-                           for x in (F.lit(name), F.lit(per_language / count[name]))])
+    total = sum(count.values())
     drawn = F.pmod(F.xxhash64("id", "text"), F.lit(1 << 20)) / float(1 << 20)
-    sample = rows.filter(drawn < share[F.col("lang")]).select("text", "lang")
+    sample = (attach(rows, have, ["lang"], "inner", ["id"])
+              .filter(drawn < per_language / F.col("count")).select("text", "lang"))
 
     def counted(batches):
         sums: dict[str, np.ndarray] = {}
@@ -141,32 +140,61 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
                 [pa.array([name] * len(at), pa.string()), pa.array(at, pa.int32()),
                  pa.array(part[at], pa.int64())], ["lang", "bucket", "n"])
 
-    sums = (sample.mapInArrow(counted, "lang string, bucket int, n bigint")
-            .groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas())
-    matrix = np.full((len(languages), 1 << bits), 0.5)
-    place = {name: k for k, name in enumerate(languages)}
-    np.add.at(matrix, (sums["lang"].map(place).to_numpy(np.int64), sums["bucket"].to_numpy()),
-              sums["n"].to_numpy(np.float64))
-    log_prob = np.log(matrix / matrix.sum(1, keepdims=True)).astype(np.float32)
+    sums = durable(sample.mapInArrow(counted, "lang string, bucket int, n bigint")
+                   .groupBy("lang", "bucket").agg(F.sum("n").alias("n")))
+    log_prob = np.empty((len(languages), 1 << bits), np.float32)
+    for k in range(0, len(languages), PER_PASS):
+        names = languages[k:k + PER_PASS]
+        part = sums.filter(F.col("lang").between(names[0], names[-1])).toPandas()
+        place = {name: i for i, name in enumerate(names)}
+        matrix = np.full((len(names), 1 << bits), 0.5)
+        np.add.at(matrix, (part["lang"].map(place).to_numpy(np.int64), part["bucket"].to_numpy()),
+                  part["n"].to_numpy(np.float64))
+        log_prob[k:k + len(names)] = np.log(matrix / matrix.sum(1, keepdims=True))
     prior = np.log(np.array([count[name] / total for name in languages]))
     return Model(languages, prior, log_prob, bits)
 
 
 def identify(docs: DataFrame, model: Model, text_col: str = "text",
-             keep: list[str] | None = None) -> DataFrame:
+             keep: list[str] | None = None, per_pass: int = PER_PASS) -> DataFrame:
     """The columns ``keep`` (all by default) as one struct ``doc``, with ``lang_pred``, ``score``.
 
-    One pass, no shuffle. Null and letterless texts are ``und`` with score 0; repeated rows are
-    scored alike; an empty table gives an empty one.
+    No shuffle; one pass over the rows for every ``per_pass`` languages. Null and letterless texts
+    are ``und`` with score 0; so is every text when no language was learned. Of languages that are
+    equally likely the first by name is taken. Repeated rows are scored alike; an empty table gives
+    an empty one.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep or docs.columns]).alias("doc"),
-                        F.col(text_col).alias("text"))
-    kind = whole.schema["doc"].dataType.simpleString()
-
+    context = docs.sparkSession.sparkContext
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep or docs.columns]).alias("doc"),
+                       F.col(text_col).alias("text"), F.lit(UNKNOWN).alias("lang_pred"),
+                       F.lit(float("-inf")).alias("top"), F.lit(0.0).alias("mass"))
+    kind = rows.schema["doc"].dataType.simpleString()
+    names = ["doc", "text", "lang_pred", "top", "mass"]
+    schema = f"doc {kind}, text string, lang_pred string, top double, mass double"
+    for number, part in enumerate(model.parts(per_pass)):
+        if number:
+            rows = durable(rows)        # the workers hold one part of the matrix at a time
+        rows = map_arrow(rows.withColumn("text", F.col("text").cast("string")),
+                         _scoring(context.broadcast(part), names), schema)
+    return rows.select("doc", "lang_pred", F.when(F.col("mass") > 0, 1 / F.col("mass")).otherwise(
+        0.0).alias("score"))
+
+
+def _scoring(shared, names: list[str]):
+    """One pass: the best language so far, its log-probability, and all mass relative to that."""
     def scored(batch):
-        names, score = shared.value.score(batch.column(1).to_pylist())
+        model = shared.value
+        totals, has = model.totals(batch.column(1).to_pylist())
+        best, top = totals.argmax(1), totals.max(1)
+        mass = np.exp(totals - top[:, None]).sum(1)
+        before = batch.column(3).to_numpy(zero_copy_only=False)
+        better = has & (top > before)
+        most = np.maximum(top, before)
+        mass = (batch.column(4).to_numpy(zero_copy_only=False) * np.exp(before - most)
+                + mass * np.exp(top - most))
+        pred = [model.languages[b] if won else old for b, won, old in zip(
+            best, better, batch.column(2).to_pylist())]
         return pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(names, pa.string()), pa.array(score, pa.float64())],
-            ["doc", "lang_pred", "score"])
-    return map_arrow(whole, scored, f"doc {kind}, lang_pred string, score double")
+            [batch.column(0), batch.column(1), pa.array(pred, pa.string()),
+             pa.array(np.where(has, most, -np.inf)), pa.array(np.where(has, mass, 0.0))], names)
+    return scored
