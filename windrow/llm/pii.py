@@ -29,32 +29,49 @@ KINDS = tuple(PATTERNS)
 CONTEXT = "context"
 _QUICK = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 TOKEN = r"(?<![^\x20\x09-\x0D])[^0-9@\x20\x09-\x0D]*+[0-9@][^\x20\x09-\x0D]*+"
-RUN = 256              # running totals of a long array are kept in runs of this length
+RUN = 64              # numbers of a running total that are folded at once
+RUN_LEVELS = 3        # runs of runs: 64 ** 4 numbers are folded in linear time
+BLOCK = 1_000          # code points of a text that are cut as one when it is redacted
 CONFIDENCE = 0.8       # share of a pattern's instances that must be known
 LEAST_KNOWN = 3        # known instances a pattern needs
 IDENTIFIER = r"^(?=(?:[^0-9]*[0-9]){2})[^\x20]{8,}$"    # two digits, eight characters
 _SPAN = "array<struct<start:bigint,end:bigint,kind:int>>"
 
 
-def _running(numbers: Column, step) -> Column:
-    """``step`` folded over an array of bigint, with the result at every place.
+def _bound(value: Column, body) -> Column:
+    """``body`` of a value that is made once, however often ``body`` mentions it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
-    Results are kept in runs, which are put together once at the end: an array that grew by one
-    result at a time would be copied as often as it is long.
+
+def _running(numbers: Column, step, levels: int = RUN_LEVELS) -> Column:
+    """``step`` (a sum or greatest) folded from 0 over an array of bigint, with every partial result.
+
+    A fold copies its accumulator at each step, so only runs of ``RUN`` numbers are folded; the
+    totals of the runs are folded the same way, and each run goes on from those before it.
     """
-    run = "array<bigint>"
-    start = F.struct(F.lit(0).cast("bigint").alias("last"), F.array().cast(f"array<{run}>").alias("done"),
-                     F.array().cast(run).alias("now"))
+    zero = F.lit(0).cast("bigint")
+
+    def folded(run: Column) -> Column:
+        start = F.struct(zero.alias("last"), F.array().cast("array<bigint>").alias("all"))
+        return F.aggregate(run, start, lambda acc, x: _bound(step(acc["last"], x), lambda value: F.struct(
+            value.alias("last"), F.concat(acc["all"], F.array(value)).alias("all"))), lambda acc: acc["all"])
+
+    if not levels:
+        return folded(numbers)
 
-    def add(acc: Column, x: Column) -> Column:
-        value = step(acc["last"], x)
-        full = F.size(acc["now"]) >= RUN
-        return F.struct(
-            value.alias("last"),
-            F.when(full, F.concat(acc["done"], F.array(acc["now"]))).otherwise(acc["done"]).alias("done"),
-            F.when(full, F.array(value)).otherwise(F.concat(acc["now"], F.array(value))).alias("now"))
-    return F.aggregate(numbers, start, add,
-                       lambda a: F.flatten(F.concat(a["done"], F.array(a["now"]))))
+    def cut(whole: Column) -> Column:
+        places = F.sequence(F.lit(0), F.floor((F.size(whole) - 1) / RUN).cast("int"), F.lit(1))
+        return F.when(F.size(whole) > RUN, F.transform(places, lambda k: folded(
+            F.slice(whole, k * RUN + 1, RUN)))).otherwise(F.array(folded(whole)))
+
+    def joined(runs: Column) -> Column:
+        ends = _running(F.transform(runs, lambda r: F.coalesce(F.get(r, F.size(r) - 1), zero)),
+                        step, levels - 1)
+        return F.when(F.size(runs) == 1, F.get(runs, F.lit(0))).otherwise(_bound(
+            ends, lambda before: F.flatten(F.transform(runs, lambda r, k: _bound(
+                F.coalesce(F.get(before, k - 1), zero),
+                lambda past: F.transform(r, lambda x: step(past, x)))))))
+    return _bound(numbers, lambda whole: _bound(cut(whole), joined))
 
 
 def _cut(text: Column, pattern: str) -> tuple[Column, Column]:
@@ -252,19 +269,36 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def redacted(text: Column, spans: Column, names: tuple[str, ...] = (*KINDS, CONTEXT)) -> Column:
-    """``text`` with each span replaced by its kind in angle brackets; overlaps by the first."""
+    """``text`` with each span replaced by its kind in angle brackets; overlaps by the first.
+
+    The text is cut into blocks once, so that a span costs about a block and not the text before it.
+    """
     kinds = F.array(*map(F.lit, names))
     reach = _running(F.transform(spans, lambda s: s["end"]), F.greatest)
     # how far the spans before reach; the last entry is the end of all of them
     placed = F.zip_with(F.concat(F.array(F.lit(0).cast("bigint")), reach), spans, lambda at, s: F.struct(
         at.alias("at"), s["start"].alias("start"), s["kind"].alias("kind")))
 
-    def part(p: Column) -> Column:
-        before = F.substring(text, (p["at"] + 1).cast("int"), (p["start"] - p["at"]).cast("int"))
-        return (F.when(p["start"].isNull(), F.substring(text, (p["at"] + 1).cast("int"), F.char_length(text)))
-                .when(p["start"] >= p["at"], F.concat(before, F.lit("<"), F.get(kinds, p["kind"]), F.lit(">")))
-                .otherwise(F.lit("")))
-    return F.when(F.size(spans) == 0, text).otherwise(F.array_join(F.transform(placed, part), ""))
+    blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+    length = F.char_length(text).cast("bigint")
+
+    def joined(whole: Column, size: Column) -> Column:
+        def between(start: Column, end: Column) -> Column:
+            first = F.floor(start / BLOCK)
+            some = F.slice(whole, (first + 1).cast("int"),
+                           (F.floor(end / BLOCK) - first + 1).cast("int"))
+            return F.substring(F.array_join(some, ""), (start - first * BLOCK + 1).cast("int"),
+                               (end - start).cast("int"))
+
+        def part(p: Column) -> Column:
+            return (F.when(p["start"].isNull(), between(p["at"], size))
+                    .when(p["start"] >= p["at"], F.concat(
+                        between(p["at"], p["start"]), F.lit("<"), F.get(kinds, p["kind"]), F.lit(">")))
+                    .otherwise(F.lit("")))
+        return F.array_join(F.transform(placed, part), "")
+    made = _bound(F.struct(blocks.alias("blocks"), length.alias("length")),
+                  lambda b: joined(b["blocks"], b["length"]))
+    return F.when(F.size(spans) == 0, text).otherwise(made)
 
 
 def count_of(spans: Column, kind: str) -> Column:
