@@ -8,11 +8,13 @@ import itertools
 import math
 import random
 import re
+import time
 import zlib
 
 import numpy as np
 import pytest
 import zstandard
+from pyspark.sql import functions as F
 
 import public_tokenizers
 from windrow.llm import (
@@ -72,6 +74,26 @@ def test_language_held_out_accuracy(spark):
     assert right > 0.97 * len(held)
 
 
+def test_more_languages_than_one_pass_takes(spark):
+    """1,500 labels in passes of 400 are the same as in one."""
+    rng = random.Random(3)
+    names = [f"l{i:04d}" for i in range(1500)]
+    rows = [(k * 1500 + i, f"{name} " + " ".join(
+        chr(97 + (i // 26) % 26) + chr(97 + i % 26) + rng.choice("abc") for _ in range(9)), name)
+        for k in range(2) for i, name in enumerate(names)] + [(9000, "12", None), (9001, None, "l1")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(4)
+    model = language.fit(docs, bits=10)
+    assert len(model.languages) > 1000
+    one, many = ({r["doc"]["doc_id"]: r for r in language.identify(
+        docs, model, keep=["doc_id"], per_pass=size).collect()} for size in (2000, 400))
+    assert len(one) == len(rows)
+    for key, r in one.items():
+        assert many[key]["lang_pred"] == r["lang_pred"]
+        assert many[key]["score"] == pytest.approx(r["score"])
+        assert 0 <= r["score"] <= 1 + 1e-12
+    assert one[9000]["lang_pred"] == one[9001]["lang_pred"] == "und"
+
+
 def test_ngrams_do_not_depend_on_the_batch():
     texts = ["Ab c", None, "x", "", "Zürich 99 été", "日本語"]
     buckets, whose, has = language.ngrams(texts)
@@ -212,6 +234,34 @@ def test_contexts_discover_and_redact(spark):
     assert text[50] == "write to mail <context> now" and text[51] == rows[21][1]
 
 
+def test_redacting_a_long_text_cuts_blocks(spark):
+    """Places are code points, also beyond a block and beside wide characters."""
+    rng = random.Random(8)
+    words = [rng.choice(["\N{GRINNING FACE}", "\n", "é", "plain", f"a{i}@b{i}.org"])
+             for i in range(9000)]
+    texts = [" ".join(words), "a@b.co" + "x\n" * 3000, "y" * 1000 + " a@b.co", "a@b.co", ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = pii.find(docs)
+    for r in found.withColumn("made", pii.redacted(found["text"], found["spans"])).collect():
+        want, at = [], 0
+        for start, kind, end in sorted(map(tuple, r["spans"])):
+            if start >= at:
+                want += [r["text"][at:start], f"<{(*pii.KINDS, pii.CONTEXT)[kind]}>"]
+            at = max(at, end)
+        assert r["made"] == "".join(want) + r["text"][at:]
+
+
+def test_redacting_is_linear(spark):
+    text = " ".join(f"a{i}@b{i}.org" for i in range(100_000))
+    spans = [(m.start(), 0, m.end()) for m in re.finditer(r"[^ ]+", text)]
+    one = spark.createDataFrame([(text, spans)], "text string, "
+                                "spans array<struct<start:bigint,kind:int,end:bigint>>")
+    started = time.monotonic()
+    made = one.select(pii.redacted(F.col("text"), F.col("spans")).alias("t")).first()["t"]
+    assert made == " ".join(["<email>"] * 100_000)
+    assert time.monotonic() - started < 60
+
+
 def test_water_fill():
     assert mixing.water_fill([10, 10, 10], [1, 2, 3], 3) == pytest.approx([5, 10, 15])
     got = mixing.water_fill([100, 1, 0], [1, 2, 3], 3)
@@ -255,6 +305,36 @@ def test_mixing(odd, none):
     assert mixing.shuffled(mixing.plan(none)).count() == 0
 
 
+def test_the_rest_is_met_beyond_a_block_of_long_documents(spark):
+    """A source's taken words miss its target by less than its shortest document left out."""
+    rng = random.Random(6)
+    rows = [(i, "w " * (rng.choice([30, 50, 70]) if i % 40 else 6000), "ab"[i % 2])
+            for i in range(1200)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(5)
+    made = mixing.plan(docs, keep=["doc_id", "source"], block_words=2000, shard_words=9000).collect()
+    taken, target = collections.Counter(), {}
+    for r in made:
+        target[r["doc"]["source"]] = r["target"]
+        if r["shard"] is not None:
+            taken[r["doc"]["source"]] += r["size"]
+            assert 0 <= r["copy"] < r["copies"] <= 3
+    for source, want in target.items():
+        assert want - 70 <= taken[source] <= want + 1
+
+
+def test_very_many_sources(spark):
+    docs = spark.range(120_000).select(
+        F.col("id").alias("doc_id"), F.expr("repeat('w ', 1 + int(id % 5))").alias("text"),
+        F.format_string("s%06d", "id").alias("source"))
+    made = mixing.plan(docs, keep=["doc_id"])
+    rows = made.filter("copy is null or copy = 0").agg(
+        F.count(F.lit(1)), F.sum(F.col("size") * F.col("copies")), F.max("copies"),
+        F.sum("target"), F.sum("size")).first()
+    assert rows[0] == 120_000 and rows[2] <= 3
+    assert rows[3] == pytest.approx(rows[4])
+    assert made.filter("copies > 0 and shard is null").count() == 0
+
+
 def plain_best_fit(lengths, size):
     free, place = [], [None] * len(lengths)
     for i in sorted(range(len(lengths)), key=lambda i: -lengths[i]):
@@ -368,6 +448,19 @@ def test_toxicity(spark, odd, none):
     assert toxicity.score(none, toxicity.fit(none, empty)).count() == 0
 
 
+def test_contradicting_labels_teach_nothing(spark):
+    rows = [(i, f"you are a grunk {i}" if i % 2 else f"a fine day {i}", i % 2) for i in range(300)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id bigint, text string")
+    labels = [(i, toxic) for i, _, toxic in rows]
+    odd = [(i, 1 - toxic) for i, toxic in labels[:100]]
+
+    def learned(marks):
+        scorer = toxicity.fit(docs, spark.createDataFrame(marks, "doc_id bigint, toxic int"))
+        return scorer.terms, scorer.weights, scorer.coefficients.tolist()
+    assert learned(labels + odd + labels[200:]) == learned(labels[100:])
+    assert learned(labels)[0]
+
+
 def test_warc(spark, tmp_path):
     long = "<p>" + "x" * 2000
     rows = [(1, "http://a/ b\r\nX: y", long), (2, None, long), (3, "u", "short"), (4, "u", "short"),

@@ -23,7 +23,6 @@ from windrow.llm.common import FOLDS, HELD_OUT_FOLD, fold, map_arrow
 from windrow.session import durable
 
 SAMPLE = 8_000           # labelled rows learned from in each of two halves, about
-MOST_TERMS = 20_000      # terms kept in the lexicon, the most telling ones
 LEAST_DOCUMENTS = 3      # toxic texts a term must occur in
 CHANCE = 2.0             # chance terms expected in the whole lexicon, at most
 LEAST_WEIGHT = 0.5       # of a term: 0 at the share of toxic texts overall, 1 where all are toxic
@@ -214,11 +213,13 @@ def _sampled(rows: DataFrame, most: int) -> DataFrame:
     return rows.filter(F.pmod(F.xxhash64("id", F.lit(3)), F.lit(1 << 20)) < share * (1 << 20))
 
 
-def learn_lexicon(rows: DataFrame, most_terms: int = MOST_TERMS) -> tuple[list[str], list[float]]:
+def learn_lexicon(rows: DataFrame) -> tuple[list[str], list[float]]:
     """Terms and weights from rows (text, toxic): counted in texts, by Spark.
 
     A term stays if as many toxic texts as it has would be a surprise even among all terms, were
-    the term independent of the label. Its weight is between 0 and 1.
+    the term independent of the label. Its weight is 0 at the share of toxic texts overall and 1
+    where all texts with it are toxic. Terms below ``LEAST_WEIGHT`` are left out: with them, chance
+    terms decide short texts. The rows are a bounded sample, so the lexicon is bounded by its words.
     """
     def found(batch):
         term, toxic = [], []
@@ -244,8 +245,7 @@ def learn_lexicon(rows: DataFrame, most_terms: int = MOST_TERMS) -> tuple[list[s
     kept = (counts.filter((F.col("k") >= LEAST_DOCUMENTS) & (share > rate))
             .withColumn("surprise", surprise).filter(F.col("surprise") > math.log(terms / CHANCE))
             .withColumn("weight", (share - rate) / (1 - rate)).filter(F.col("weight") > LEAST_WEIGHT)
-            .orderBy(F.desc("surprise"), "term").limit(most_terms)
-            .select("term", "weight").collect())
+            .orderBy(F.desc("surprise"), "term").select("term", "weight").collect())
     return [r[0] for r in kept], [float(r[1]) for r in kept]
 
 
@@ -253,11 +253,14 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         label_col: str = "toxic", sample: int = SAMPLE) -> Scorer:
     """Lexicon and score from the labelled rows outside the held-out fold.
 
-    Rows without a label or text teach nothing. Without rows of both kinds, every score is 0.5 or
+    Rows without a label or text teach nothing, nor do ids whose rows of ``labels`` contradict each
+    other; repeated labels count once. Without rows of both kinds, every score is 0.5 or
     the one value that fits.
     """
     marked = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("toxic"))
-    marked = marked.filter(F.col("toxic").isin(0, 1) & F.col("id").isNotNull())
+    marked = (marked.filter(F.col("toxic").isin(0, 1) & F.col("id").isNotNull())
+              .groupBy("id").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("most"))
+              .filter(F.col("toxic") == F.col("most")).drop("most"))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter(
         F.col("text").isNotNull()).withColumn("fold", fold("id"))
     parts = []
