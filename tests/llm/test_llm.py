@@ -515,6 +515,30 @@ def test_embeddings(spark):
              (1010, [1.0], 1), (None, rows[5][1], rows[5][2])]
     df = spark.createDataFrame([(*r, "clash") for r in rows],
                                "vec_id bigint, embedding array<double>, label int, v string")
+    got = collections.Counter((r["id"], r["n_links"], r["component_id"])
+                              for r in embeddings.near_duplicates(df).collect())
+    want = plain_links(rows)
+    assert got == want and sum(n > 0 for _, n, _ in want) > 50
+    assert embeddings.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_embeddings_in_blocks_of_a_crowded_bucket(spark, monkeypatch):
+    """Buckets of many pieces, with links inside of a piece, across pieces and to copies."""
+    monkeypatch.setattr(embeddings, "PIECE", 16)
+    rng = np.random.default_rng(1)
+    centre = rng.standard_normal(16)
+    rows = [(i, [float(x) for x in centre + rng.standard_normal(16) * 0.1], 1) for i in range(150)]
+    rows += [(1000 + i, rows[i % 3][1], 1) for i in range(30)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")
+    got = collections.Counter((r["id"], r["n_links"], r["component_id"])
+                              for r in embeddings.near_duplicates(df).collect())
+    want = plain_links(rows)
+    assert got == want
+    assert 1000 < sum(n for _, n, _ in want) < len(rows) ** 2 * 0.9
+
+
+def plain_links(rows):
+    """Every pair of rows compared: (id, links, least id of the component) of each."""
     n, group = collections.Counter(), list(range(len(rows)))
     def fine(v):
         return v and all(x is not None and math.isfinite(x) for x in v) and any(v)
@@ -526,13 +550,11 @@ def test_embeddings(spark):
         if x @ y / math.sqrt((x @ x) * (y @ y)) >= 0.98:
             n[i] += 1
             n[j] += 1
-            group = [min(group[i], group[j]) if g in (group[i], group[j]) else g for g in group]
-    want = collections.Counter((r[0], n[i], rows[group[i]][0] if group[i] != i or r[0] is not None
+            first, last = sorted((group[i], group[j]))
+            if first != last:
+                group = [first if g == last else g for g in group]
+    return collections.Counter((r[0], n[i], rows[group[i]][0] if group[i] != i or r[0] is not None
                                 else None) for i, r in enumerate(rows))
-    got = collections.Counter((r["id"], r["n_links"], r["component_id"])
-                              for r in embeddings.near_duplicates(df).collect())
-    assert got == want and len(n) > 50
-    assert embeddings.near_duplicates(df.limit(0)).count() == 0
 
 
 def plain_counts(text):

@@ -4,7 +4,10 @@ Equal vectors of one label are one class, so copies are never paired. Each table
 signs of its products with ``bits`` random hyperplanes; classes that agree in all signs of a table
 are candidates. The number of bits follows the number of classes and the number of tables follows
 from the bits, so that a pair at the threshold is missed with a probability below ``MISS`` at any
-size. Candidates are confirmed by their cosine in double precision.
+size. A bucket is dealt into pieces by its count, and every two pieces are one block of bounded size,
+where cosines are taken in double precision. No pair leaves a block: it returns how many rows each
+class links to there, counting a pair in the first table that has it, and links that span what is
+joined.
 """
 
 from __future__ import annotations
@@ -18,11 +21,15 @@ from pyspark.sql import functions as F
 
 from windrow.llm.common import map_arrow
 from windrow.llm.components import components
+from windrow.operators.joins import attach
 from windrow.session import durable
 
 THRESHOLD = 0.98
 MISS = 1e-6
 SEED = 20_240_601
+PIECE = 1024             # classes in a piece of a bucket, about
+TILE = 256               # rows whose cosines with a block are held at a time
+CLOSE = 1e-9             # cosines this near to the threshold are taken again, pair by pair
 
 
 def table_sizes(n: int, threshold: float = THRESHOLD, miss: float = MISS) -> tuple[int, int]:
@@ -57,61 +64,118 @@ def _hashed(vectors: DataFrame, id_col: str, vector_col: str, label_col: str) ->
             F.col("v"), F.lit("|").cast("binary"), F.col("label").cast("binary"))))))
 
 
-def _buckets(classes: DataFrame, bits: int, tables: int) -> DataFrame:
-    """(class, key) for every table; the key is a hash of table, label, length and signs."""
+def _signed(classes: DataFrame, bits: int, tables: int) -> DataFrame:
+    """The classes with ``signs``, one number for every table."""
     def made(batch):
-        owner, where, key = [], [], []
-        vectors = [np.frombuffer(v.as_buffer(), "<f8") for v in batch.column(2)]
+        vectors = [np.frombuffer(v.as_buffer(), "<f8") for v in batch.column(3)]
+        signs = np.zeros((len(vectors), tables), np.int64)
         by_length: dict[int, list[int]] = {}
         for i, v in enumerate(vectors):
             by_length.setdefault(len(v), []).append(i)
+        weight = np.uint64(1) << np.arange(bits, dtype=np.uint64)
         for length, at in by_length.items():
             planes = np.random.default_rng([SEED, length]).standard_normal((length, tables * bits))
-            weight = np.uint64(1) << np.arange(bits, dtype=np.uint64)
             for s in range(0, len(at), 1024):
                 rows = at[s:s + 1024]
                 block = np.stack([vectors[i] / np.abs(vectors[i]).max() for i in rows])
-                signs = (block @ planes > 0).reshape(len(rows), tables, bits)
-                number = (signs * weight).sum(2, dtype=np.uint64).astype(np.int64)
-                owner.extend(np.repeat(rows, tables).tolist())
-                where.extend(np.tile(np.arange(tables) * 65_536 + length, len(rows)).tolist())
-                key.extend(number.ravel().tolist())
-        take = pa.array(owner, pa.int64())
+                above = (block @ planes > 0).reshape(len(rows), tables, bits)
+                signs[rows] = (above * weight).sum(2, dtype=np.uint64).astype(np.int64)
         return pa.RecordBatch.from_arrays(
-            [batch.column(0).take(take), batch.column(1).take(take), pa.array(where, pa.int64()),
-             pa.array(key, pa.int64())], ["class", "label", "at", "signs"])
-    rows = map_arrow(classes.select("class", "label", "v"), made,
-                     "class binary, label string, at bigint, signs bigint")
-    return rows.select("class", F.xxhash64("label", "at", "signs").alias("key"))
-
-
-def _candidates(classes: DataFrame, bits: int, tables: int) -> DataFrame:
-    keys = _buckets(classes, bits, tables)
-    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
+            [*batch.columns, pa.array([r.tobytes() for r in signs.astype("<i8")], pa.binary())],
+            ["class", "label", "n", "v", "signs"])
+    return map_arrow(classes.select("class", "label", "n", "v"), made,
+                     "class binary, label string, n bigint, v binary, signs binary")
+
+
+def _linked(classes: DataFrame, threshold: float, bits: int, tables: int) -> DataFrame:
+    """Of every block of a bucket: (a, null, rows that class a links to) and spanning links (a, b)."""
+    signed = durable(_signed(classes, bits, tables))
+    keys = signed.select("class", F.xxhash64("label", F.octet_length("v")).alias("of"), "signs",
+                         F.explode(F.sequence(F.lit(0), F.lit(tables - 1))).alias("at")).select(
+        "class", "at", F.xxhash64("of", "at", F.substring("signs", F.col("at") * 8 + 1, F.lit(8)))
+        .alias("key"))
     # only buckets with company go on; most have none
-    crowded = durable(keys.join(shared, "key", "left_semi"))
-    return crowded.select("key", F.col("class").alias("a")).join(
-        crowded.select("key", F.col("class").alias("b")), "key").filter(
-        F.col("a") < F.col("b")).select("a", "b").distinct()
-
-
-def _confirmed(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
-    left = classes.select(F.col("class").alias("a"), F.col("v").alias("x"),
-                          F.col("label").alias("label_a"), F.col("n").alias("n_a"))
-    right = classes.select(F.col("class").alias("b"), F.col("v").alias("y"),
-                           F.col("label").alias("label_b"), F.col("n").alias("n_b"))
-    both = pairs.join(left, "a").join(right, "b").filter(
-        (F.col("label_a") == F.col("label_b"))
-        & (F.octet_length("x") == F.octet_length("y"))).select("a", "b", "n_a", "n_b", "x", "y")
-
-    def check(batch):
-        keep = []
-        for x, y in zip(batch.column(4), batch.column(5)):
-            x, y = np.frombuffer(x.as_buffer(), "<f8"), np.frombuffer(y.as_buffer(), "<f8")
-            keep.append(cosine(x, y) >= threshold)
-        return pa.RecordBatch.from_arrays(
-            batch.columns[:4], ["a", "b", "n_a", "n_b"]).filter(pa.array(keep))
-    return map_arrow(both, check, "a binary, b binary, n_a bigint, n_b bigint")
+    pieces = durable(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(
+        "key", F.ceil(F.col("n") / PIECE).cast("int").alias("pieces")))
+    crowded = attach(keys, pieces, ["key"], "inner", ["class"])
+    block = ["key", "low", "high"]
+    dealt = crowded.join(signed, "class").withColumn(
+        "own", F.pmod(F.hash("class", F.lit(SEED)), F.col("pieces"))).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))).withColumn(
+        "low", F.least("own", "other")).withColumn("high", F.greatest("own", "other")).select(
+        *block, "at", "class", "label", "n", "v", "signs", "own")
+
+    def blocks(batches):
+        held, begun, now = [], 0, None          # rows of whole blocks, and of one more from begun
+        for batch in batches:
+            for row in zip(*(batch.column(c).to_pylist() for c in range(batch.num_columns))):
+                if row[:3] != now:
+                    if len(held) > PIECE:
+                        yield from _compared(held, threshold)
+                        held = []
+                    elif len(held) == begun + 1:
+                        held.pop()
+                    begun, now = len(held), row[:3]
+                held.append(row)
+        if held:
+            yield from _compared(held, threshold)
+    return (dealt.repartition(*block).sortWithinPartitions(*block, "class")
+            .mapInArrow(blocks, "a binary, b binary, m bigint"))
+
+
+def _compared(rows: list[tuple], threshold: float):
+    """Counts and spanning links of the blocks that ``rows`` hold: pairs of one block, table, label
+    and length, in a block of two pieces only those of different pieces."""
+    by_length: dict[int, list[tuple]] = {}
+    for row in rows:
+        by_length.setdefault(len(row[7]), []).append(row)
+    for part in by_length.values():
+        numbers: dict[tuple, int] = {}
+        group = np.array([numbers.setdefault((*r[:4], r[5]), len(numbers)) for r in part])
+        side = np.array([-1 - i if r[1] == r[2] else r[9] for i, r in enumerate(part)])
+        table, n = np.array([r[3] for r in part]), np.array([r[6] for r in part], np.int64)
+        x = np.stack([np.frombuffer(r[7], "<f8") for r in part])
+        signs = np.stack([np.frombuffer(r[8], "<i8") for r in part])
+        unit = x / np.abs(x).max(1, keepdims=True)
+        unit /= np.sqrt((unit * unit).sum(1, keepdims=True))
+        links = np.zeros((len(part), len(part)), bool)
+        for start in range(0, len(part), TILE):
+            end = min(start + TILE, len(part))
+            cosines = unit[start:end] @ unit.T
+            i, j = np.nonzero((cosines >= threshold - CLOSE)
+                              & (group[start:end, None] == group) & (side[start:end, None] != side))
+            near = np.flatnonzero(cosines[i, j] < threshold + CLOSE)
+            i += start
+            fine = np.ones(len(i), bool)
+            fine[near] = [cosine(x[p], x[q]) >= threshold for p, q in zip(i[near], j[near])]
+            i, j = i[fine], j[fine]
+            for earlier in range(signs.shape[1]):       # a pair counts in its first table alone
+                fine = (signs[i, earlier] != signs[j, earlier]) | (table[i] <= earlier)
+                i, j = i[fine], j[fine]
+            links[i, j] = True
+        yield from _reported([r[4] for r in part], links, n)
+
+
+def _reported(kind: list[bytes], links: np.ndarray, n: np.ndarray):
+    count = links @ n
+    linked = np.flatnonzero(count)
+    a, b, m = [kind[i] for i in linked], [None] * len(linked), count[linked].tolist()
+    free = np.ones(len(kind), bool)
+    for first in linked.tolist():
+        if not free[first]:
+            continue
+        edge = np.array([first])
+        free[first] = False
+        while len(edge):
+            edge = np.flatnonzero(links[edge].any(0) & free)
+            free[edge] = False
+            a.extend(kind[first] for _ in edge)
+            b.extend(kind[i] for i in edge)
+            m.extend(None for _ in edge)
+    if a:
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array(m, pa.int64())],
+            ["a", "b", "m"])
 
 
 def cosine(x: np.ndarray, y: np.ndarray) -> float:
@@ -138,18 +202,17 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
         F.first("v").alias("v"), F.first("label").alias("label"),
         F.count(F.lit(1)).alias("n"), F.min("id").alias("least_id")))
     bits, tables = table_sizes(classes.count(), threshold)
-    links = durable(_confirmed(_candidates(classes, bits, tables), classes, threshold))
-    others = links.select(F.explode(F.array(
-        F.struct(F.col("a").alias("class"), F.col("n_b").alias("m")),
-        F.struct(F.col("b").alias("class"), F.col("n_a").alias("m")))).alias("e")).select(
-        "e.*").groupBy("class").agg(F.sum("m").alias("m"))
-    roots = components(links).select(F.col("node").alias("class"), "root")
-    named = classes.select("class", "n", "least_id").join(roots, "class", "left").withColumn(
-        "root", F.coalesce("root", "class"))
+    found = durable(_linked(classes, threshold, bits, tables))
+    others = found.filter("b is null").groupBy(F.col("a").alias("class")).agg(F.sum("m").alias("m"))
+    roots = components(found.filter("b is not null").select("a", "b")).select(
+        F.col("node").alias("class"), "root")
+    named = durable(classes.select("class", "n", "least_id").join(roots, "class", "left").withColumn(
+        "root", F.coalesce("root", "class")))
     least = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    of_class = named.join(least, "root").join(others, "class", "left").select(
-        "class", "component_id", (F.col("n") - 1 + F.coalesce("m", F.lit(0))).alias("n_links"))
+    of_class = durable(attach(named, durable(least), ["root"], "inner", ["class"]).join(
+        others, "class", "left").select(
+        "class", "component_id", (F.col("n") - 1 + F.coalesce("m", F.lit(0))).alias("n_links")))
     own = F.when(F.col("class").isNull(), F.col("id")).otherwise(F.col("component_id"))
-    return rows.select("id", "class").join(of_class, "class", "left").select(
+    return attach(rows.select("id", "class"), of_class, ["class"], "left", ["id"]).select(
         "id", F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
         own.alias("component_id"), F.col("id").eqNullSafe(own).alias("kept"))
