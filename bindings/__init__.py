@@ -2,7 +2,7 @@
 
 from bindings.registry import ORACLES, QUERIES
 from bindings import (  # noqa: F401  (importing a module registers its queries)
-    cleaning, filling, metrics, models, quality, reports, splits, windows,
+    cleaning, filling, metrics, models, properties, quality, reports, splits, windows,
 )
 
 __all__ = ["ORACLES", "QUERIES"]
