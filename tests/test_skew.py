@@ -55,6 +55,24 @@ def test_rows_of_one_instant_are_cut(spark, monkeypatch, sampled):
     assert whole.exceptAll(made).count() == 0 and made.count() == 21_000
 
 
+def test_many_slices_are_cut_by_position(spark):
+    """Where slices are many, no row is compared with a list of all boundaries of its instant."""
+    df = spark.range(6_000).select(
+        F.when(F.col("id") % 50 > 0, 1).alias("key"),
+        F.when(F.col("id") % 900 > 0, F.floor(F.col("id") / 5_000)).alias("t"),
+        F.pmod(F.xxhash64("id"), F.lit(10**9)).alias("tie"), "id",
+        F.when(F.col("id") % 9 == 0, F.col("id").cast("double")).alias("x")).repartition(5)
+    series = SeriesKey("key", "t", "tie")
+    cut = ordering.in_slices(imputation.with_position(df, series), "_us", ["t", "tie"], 7, "s")
+    assert max(r["count"] for r in cut.groupBy("s").count().collect()) <= 7
+    order = [r["s"] for r in cut.orderBy("t", "tie").collect()]
+    assert order == sorted(order)
+    whole = imputation.bounded_fill(df, series, ["x"], 5)
+    made = imputation.bounded_fill(df, series, ["x"], 5, rows_per_slice=7)
+    assert "_ties" not in made._jdf.queryExecution().toString()
+    assert whole.exceptAll(made).count() == 0 and made.count() == 6_000
+
+
 def test_fill_with_missing_times_and_nan(spark):
     rows = [(1, [None, float("nan"), 1.0, 1.0000001, 1.0000002][i % 5], 997 * i % 1000, i,
              float(i) if i % 4 == 0 else None) for i in range(1000)]

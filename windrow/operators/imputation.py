@@ -5,8 +5,8 @@ rest backward gives the same as taking the last raw reading within ``limit`` row
 else the first one within ``limit`` rows after: where the forward fill finds nothing, the nearest
 filled value ahead is itself a raw reading. So one ordered window serves both directions.
 
-A series that is longer than a slice is cut at records of the global order by time and tiebreak, so
-rows of one instant are cut like any others. Each piece is filled on its own, and one record per
+A series that is longer than a slice is cut in the global order by time and tiebreak, so rows of one
+instant are cut like any others. Each piece is filled on its own, and one record per
 piece (its length, its first and last reading) tells the next and the previous pieces what lies
 just beyond their edge.
 """
@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from windrow.functions.clock import micros
 from windrow.functions.missing import nullify_nan
 from windrow.operators.joins import attach
-from windrow.operators.ordering import ROWS_PER_SLICE, Boundaries, boundaries, slice_between
+from windrow.operators.ordering import ROWS_PER_SLICE, in_slices
 from windrow.series import SeriesKey
 from windrow.session import durable
 
@@ -34,12 +34,11 @@ def bounded_fill(df: DataFrame, series: SeriesKey, columns: Sequence[str], limit
                  rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
     """Fill nulls of ``columns`` from at most ``limit`` rows away, in the order of directions."""
     timed = with_position(df, series)
-    cuts = boundaries(timed, "_us", [series.time, series.tiebreak], rows_per_slice)
-    if cuts is None:
+    sliced = in_slices(timed, "_us", [series.time, series.tiebreak], rows_per_slice, "_slice")
+    if sliced is None:
         before, after = _near(series.keys, series, columns, limit)
         return df.select(*_filled(df.columns, columns, directions, before, after))
-    return _fill_in_pieces(timed, series, columns, limit, directions, cuts, rows_per_slice).select(
-        *df.columns)
+    return _fill_in_pieces(sliced, series, columns, limit, directions, rows_per_slice).select(*df.columns)
 
 
 def with_position(df: DataFrame, series: SeriesKey) -> DataFrame:
@@ -65,23 +64,21 @@ def _filled(names: Sequence[str], columns: Sequence[str], directions: Sequence[s
             if c in columns else F.col(c) for c in names]
 
 
-def _fill_in_pieces(timed: DataFrame, series: SeriesKey, columns: Sequence[str], limit: int,
-                    directions: Sequence[str], cuts: Boundaries, slice_rows: int
-                    ) -> DataFrame:
+def _fill_in_pieces(sliced: DataFrame, series: SeriesKey, columns: Sequence[str], limit: int,
+                    directions: Sequence[str], slice_rows: int) -> DataFrame:
     # a struct of the keys joins and partitions like a key, and equals itself where one is null
-    timed = timed.withColumn("_series", F.struct(*series.keys))
+    sliced = sliced.withColumn("_series", F.struct(*series.keys))
     piece = ["_series", "_piece"]
     # fewer series than there are slices can be longer than a slice
-    long_series = (timed.groupBy("_series").agg(F.count(F.lit(1)).alias("_n"))
+    long_series = (sliced.groupBy("_series").agg(F.count(F.lit(1)).alias("_n"))
                    .filter(F.col("_n") > slice_rows).select("_series", F.lit(True).alias("_long")))
-    sliced = slice_between(timed, "_us", [series.time, series.tiebreak], cuts, "_slice")
     pieces = sliced.join(F.broadcast(long_series), "_series", "left").withColumn(
         "_piece", F.when(F.col("_long"), F.col("_slice")).otherwise(F.lit(0)))
 
     in_piece = Window.partitionBy(*piece).orderBy(*series.order())
     before, after = _near(piece, series, columns, limit)
     local = pieces.select(
-        *timed.columns, "_piece", F.row_number().over(in_piece).alias("_row"),
+        *sliced.columns, "_piece", F.row_number().over(in_piece).alias("_row"),
         *[before[c].alias(f"_before_{c}") for c in columns],
         *[after[c].alias(f"_after_{c}") for c in columns])
 
@@ -97,7 +94,7 @@ def _fill_in_pieces(timed: DataFrame, series: SeriesKey, columns: Sequence[str],
                    for c in columns}
     full_after = {c: reach(c, "after", F.col(f"_after_edge_{c}")["position"] - position)
                   for c in columns}
-    return joined.select(*_filled(timed.columns, columns, directions, full_before, full_after))
+    return joined.select(*_filled(sliced.columns, columns, directions, full_before, full_after))
 
 
 def _edges(pieces: DataFrame, columns: Sequence[str], in_piece) -> DataFrame:

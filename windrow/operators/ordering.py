@@ -2,7 +2,8 @@
 
 Four tools. *Slices* cut an ordered column at its measured quantiles, so that a group can be
 processed slice by slice and stitched together from one small record per slice. *Boundaries* cut an
-order of several columns at records of the table, so that rows of one instant are cut as well.
+order of several columns at records of the table, so that rows of one instant are cut as well; where
+there are many, the table itself is sorted and cut by position.
 *Running sums* use slices for cumulative totals. *Dense index* numbers the rows of a globally
 sorted table. The number of slices grows with the table; what one holds does not.
 """
@@ -21,6 +22,7 @@ from windrow.session import durable
 
 ROWS_PER_SLICE = 2_000_000
 SAMPLE_PER_SLICE = 2_000
+MOST_BOUNDARIES = 200   # that every row is compared with; more slices than that are cut by position
 MARGIN = 1.25           # slices cut by a sample are made smaller by this, some ten deviations
 
 
@@ -65,16 +67,43 @@ class Boundaries:
     most_ties: int
 
 
-def boundaries(df: DataFrame, first: str, rest: Sequence[str],
-               rows_per_slice: int = ROWS_PER_SLICE) -> Boundaries | None:
+def in_slices(df: DataFrame, first: str, rest: Sequence[str], rows_per_slice: int, name: str
+              ) -> DataFrame | None:
+    """Add a number as ``name`` that rises with the order and is shared by one slice of rows at most.
+
+    None for a table that fits one slice.
+    """
+    total = df.count()
+    if total <= rows_per_slice:
+        return None
+    if total > MOST_BOUNDARIES * rows_per_slice:
+        return cut_by_position(df, [first, *rest], rows_per_slice, name)
+    return slice_between(df, first, rest, boundaries(df, first, rest, rows_per_slice, total), name)
+
+
+def cut_by_position(df: DataFrame, order: Sequence[str], rows_per_slice: int, name: str) -> DataFrame:
+    """Sort ``df`` by range and number the slices of every sorted partition.
+
+    The checkpoint fixes the partitions, so each use of the table sees the same slices. Nothing is
+    sent to all tasks, and a row costs the same however many slices there are.
+    """
+    row = F.monotonically_increasing_id().bitwiseAND(F.lit(2**33 - 1))
+    return durable(df.orderBy(*order)).select("*", (
+        F.shiftleft(F.spark_partition_id().cast("bigint"), 33)
+        + F.call_function("div", row, F.lit(rows_per_slice))).alias(name))
+
+
+def boundaries(df: DataFrame, first: str, rest: Sequence[str], rows_per_slice: int = ROWS_PER_SLICE,
+               total: int | None = None) -> Boundaries | None:
     """Records of ``df`` that cut the order by ``first``, then ``rest``, into slices.
 
     ``first`` is a double without nulls. No slice holds more than ``rows_per_slice`` rows as long as
     no two rows are equal in the whole order, however many are equal in ``first``. The narrow order
     is sorted, from a sample where the table is large, and every so many records one is a boundary.
-    None for a table that fits one slice.
+    None for a table that fits one slice. ``total`` passes on a count the caller has already made.
     """
-    total = df.count()
+    if total is None:
+        total = df.count()
     if total <= rows_per_slice:
         return None
     slices = math.ceil(total / rows_per_slice)
