@@ -99,10 +99,10 @@ def _wide_sql() -> str:
 @query(_wide_sql())
 def window_features_wide(spark, folder):
     """Forty measures and twelve magnitude areas: 172 features in one pass."""
-    df = items(spark, folder).select(
-        "l_suppkey", "l_returnflag", "l_shipdate",
-        *[(F.col(c) * f).alias(m) for m, (c, f) in WIDE.items()])
-    return rounded_features(windows.window_features(df, ITEMS, list(WIDE), AXES, least=3), 3)
+    df = items(spark, folder).select("l_suppkey", "l_returnflag", "l_shipdate", *ITEM_MEASURES)
+    return rounded_features(windows.window_features(
+        df, ITEMS, list(WIDE), AXES, least=3,
+        derived={m: F.col(c) * f for m, (c, f) in WIDE.items()}), 3)
 
 
 @query(f"""WITH {EVENT_WINDOWS} SELECT user_id, event_type, window_id, count(*) AS sample_count

@@ -114,3 +114,33 @@ def test_dense_index_without_a_single_task(spark):
     assert sorted(rows_of(dense_index(df.repartition(6), ["a", "b"], "n"))) == want
     assert sorted(rows_of(dense_index(df, ["a", "b"], "n"))) == want
     assert dense_index(df.limit(0), ["a", "b"], "n").count() == 0
+
+
+def test_many_columns_shuffle_the_rows_once(spark):
+    """Forty derived columns: the narrow rows are shuffled once, not four sets of wide partials."""
+    spec = WindowSpec(("key",), "t", 10.0)
+    rows = spark.range(4_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(None)).when(F.col("id") % 3 == 1, F.lit("hot"))
+        .otherwise(F.concat(F.lit("k"), F.col("id") % 200)).alias("key"),
+        F.when(F.col("id") % 3 == 1, F.lit(5.0)).otherwise((F.col("id") / 5)).alias("t"),
+        F.when(F.col("id") % 7 > 0, F.col("id").cast("double")).alias("a"),
+        (F.col("id") % 11).cast("double").alias("b"))
+    derived = {f"c{i:02d}": F.col("ab"[i % 2]) * (1 + i) for i in range(40)}
+    areas = {f"g{i}": (f"c{3 * i:02d}", f"c{3 * i + 1:02d}") for i in range(9)}
+    names = list(derived)
+    made = windows.window_features(rows, spec, names, areas, least=2, derived=derived, keep_helpers=True)
+    assert made.columns[:7] == ["key", "window_id", "sample_count", "c00_mean", "c00_std", "c00_min",
+                                "c00_max"]
+    got = {(r.key, r.window_id): r for r in made.collect()}
+    plan = made._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    # the other sets read the same shuffle; the hot window is combined on the map side
+    assert "ReusedExchange" in plan and max(r.sample_count for r in got.values()) > 1_000
+    wide, found = rows.withColumns(derived), {}
+    for i in range(0, 40, 10):          # few columns at a time are aggregated directly
+        for r in windows.window_features(wide, spec, names[i:i + 10], {
+                n: a for n, a in areas.items() if a[0] in names[i:i + 10]}, least=2,
+                keep_helpers=True).collect():
+            found.setdefault((r.key, r.window_id), {}).update(r.asDict())
+    assert got.keys() == found.keys()
+    for at, r in got.items():
+        assert all(r[c] == v or abs(r[c] - v) <= 1e-9 * abs(v) for c, v in found[at].items())

@@ -1,8 +1,9 @@
 """Tumbling windows counted from the start of each segment, and features per window.
 
 The start of a segment is an aggregate of few rows, attached by broadcast when it is measured to
-be small. The rows are then shuffled once, as partial aggregates per window. Hot segments and hot
-windows are combined on the map side.
+be small. Few columns are then shuffled once, as partial aggregates per window. With many columns those
+would be far larger than the rows, so the rows are shuffled, before the columns derived from them are
+computed. Hot segments and hot windows are combined on the map side.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from windrow.functions.clock import micros, whole_micros, window_index
-from windrow.operators.joins import attach, is_small, join_rows, spread_join
+from windrow.operators.joins import attach, hot_keys, is_small, join_rows, key_hash, spread_join
 from windrow.session import durable
 
 
@@ -78,29 +79,47 @@ def magnitude_areas(groups: Mapping[str, Sequence[str]]) -> list[Column]:
 
 def aggregate_windows(windowed: DataFrame, spec: WindowSpec, columns: Sequence[str],
                       groups: Mapping[str, Sequence[str]] | None = None,
-                      count: str = "sample_count") -> DataFrame:
+                      count: str = "sample_count", derived: Mapping[str, Column] | None = None
+                      ) -> DataFrame:
     """Count, statistics and magnitude areas per window.
 
-    Many columns are aggregated in sets, joined by the window, which the sets are partitioned by
-    already: an aggregate with hundreds of buffers is too large to be compiled, and slower than
-    several scans of few columns each.
+    ``derived`` columns are computed from those of ``windowed`` and used like them. Many columns are
+    aggregated in sets, joined by the window, which the sets are partitioned by already: an
+    aggregate with hundreds of buffers is too large to be compiled, and slower than several scans
+    of few columns each. Rows are brought to their window first, one shuffle for all sets that read
+    the same columns; only windows that hold more than an even part of the rows are combined on
+    the map side.
     """
-    areas = dict(groups or {})
+    areas, made = dict(groups or {}), dict(derived or {})
     sets = max(1, math.ceil(len(columns) / COLUMNS_AT_ONCE))
     if sets == 1:
-        return windowed.groupBy(*spec.keys).agg(
+        return windowed.withColumns(made).groupBy(*spec.keys).agg(
             F.count(F.lit(1)).alias(count), *statistics(columns), *magnitude_areas(areas))
     # a struct of the keys joins like a key, and equals itself where one is null
     keyed = windowed.withColumn("_key", F.struct(*spec.keys))
+    hot = list(hot_keys(windowed, spec.keys))
+    is_hot = key_hash(windowed, spec.keys).isin(hot)
+    rows = keyed.filter(~is_hot) if hot else keyed
+    found = _in_sets(rows.repartition("_key").withColumns(made), columns, areas, count, sets)
+    if hot:
+        found = found.unionByName(
+            _in_sets(keyed.filter(is_hot).withColumns(made), columns, areas, count, sets))
+    order = [f"{c}_{kind}" for c in columns for kind in STATISTICS] + [f"{n}_sma" for n in areas]
+    return found.select("_key.*", count, *order)
+
+
+def _in_sets(keyed: DataFrame, columns: Sequence[str], areas: Mapping[str, Sequence[str]],
+             count: str, sets: int) -> DataFrame:
     names, made = list(areas), None
     for i in range(sets):
+        # neighbours, so that sets of columns derived in turn from few others read the same ones
+        of, of_names = (part[i * len(part) // sets:(i + 1) * len(part) // sets]
+                        for part in (columns, names))
         counted = [F.count(F.lit(1)).alias(count)] if i == 0 else []
         part = keyed.groupBy("_key").agg(
-            *counted, *statistics(columns[i::sets]),
-            *magnitude_areas({n: areas[n] for n in names[i::sets]}))
+            *counted, *statistics(of), *magnitude_areas({n: areas[n] for n in of_names}))
         made = part if made is None else made.join(part, "_key")
-    order = [f"{c}_{kind}" for c in columns for kind in STATISTICS] + [f"{n}_sma" for n in names]
-    return made.select("_key.*", count, *order)
+    return made
 
 
 def least_rows(seconds: float, rate: float, fill: float) -> int:
@@ -115,9 +134,11 @@ def gate(features: DataFrame, least: int, count: str = "sample_count") -> DataFr
 
 def window_features(df: DataFrame, spec: WindowSpec, columns: Sequence[str],
                     groups: Mapping[str, Sequence[str]] | None = None, least: int = 1,
-                    keep_helpers: bool = False) -> DataFrame:
+                    keep_helpers: bool = False, derived: Mapping[str, Column] | None = None
+                    ) -> DataFrame:
     """One feature row per sufficiently filled window."""
-    made = gate(aggregate_windows(assign_windows(df, spec), spec, columns, groups), least)
+    made = gate(aggregate_windows(assign_windows(df, spec), spec, columns, groups,
+                                  derived=derived), least)
     return made if keep_helpers else made.drop(spec.window, "sample_count")
 
 
