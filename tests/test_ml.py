@@ -153,3 +153,45 @@ def test_a_stored_model_and_its_reports(spark, separable, tmp_path):
     assert int(run.n_scored) == test.count() and float(run.f1_weighted) > 0.8
     with pytest.raises(ValueError, match="missing"):
         modelling.score(test.drop(columns[0]), folder)
+
+
+def test_svm_classes_share_passes(spark):
+    """All classes in common jobs, to an objective as low as that of MLlib's one against the rest."""
+    import numpy as np
+    from pyspark.ml.classification import OneVsRest
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.sql import functions as F
+
+    from windrow.ml import training
+    noise = [(F.pmod(F.xxhash64("id", F.lit(i)), F.lit(1000)) / 1000.0 - 0.5) for i in range(4)]
+    df = spark.range(600).select(
+        (F.col("id") % 6).cast("double").alias(training.LABEL), array_to_vector(F.array(
+            *[n * 3 + F.when(F.col("id") % 6 == i, 2.0).otherwise(F.col("id") % 6 / 9.0)
+              for i, n in enumerate(noise)], F.lit(7.0))).alias(training.FEATURES)).repartition(3).persist()
+    shared = training.linear_svm(iterations=25).build(5, 6)
+    shared.getClassifier().setRegParam(0.1)
+    plain = OneVsRest(classifier=shared.getClassifier(), featuresCol=training.FEATURES,
+                      labelCol=training.LABEL)
+    def fitted(estimator, group):
+        spark.sparkContext.setJobGroup(group, "svm")
+        try:
+            return estimator.fit(df), len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    (made, jobs), (other, jobs_before) = fitted(shared, "svm-shared"), fitted(plain, "svm-plain")
+    assert 0 < 2 * jobs < jobs_before
+    rows = df.collect()
+    x = np.array([r[training.FEATURES].toArray() for r in rows])
+    y = np.array([r[training.LABEL] for r in rows])
+
+    def objectives(model):
+        return np.array([np.maximum(0, 1 - np.where(y == k, 1, -1) * (
+            x @ m.coefficients.toArray() + m.intercept)).mean() + 0.05 * (
+                (m.coefficients.toArray() * x.std(axis=0, ddof=1)) ** 2).sum()
+            for k, m in enumerate(model.models)])
+    assert (objectives(made) <= objectives(other) + 0.005).all()
+    assert made.models[0].coefficients[4] == 0
+    right, before = (m.transform(df).filter(F.col("prediction") == F.col(training.LABEL)).count()
+                     for m in (made, other))
+    df.unpersist()
+    assert right >= before - 12 and right > 300

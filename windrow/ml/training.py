@@ -8,8 +8,7 @@ from dataclasses import dataclass, field
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import (
-    LinearSVC, LogisticRegression, MultilayerPerceptronClassifier, OneVsRest,
-    RandomForestClassifier,
+    LinearSVC, LogisticRegression, MultilayerPerceptronClassifier, RandomForestClassifier,
 )
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
@@ -19,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from windrow.functions.hashing import hash_fraction
+from windrow.ml.svm import SharedOneVsRest
 
 LABEL, FEATURES, FOLD = "label_index", "feature_vector", "fold"
 
@@ -69,7 +69,7 @@ def perceptron(iterations: Sequence[int] = (50, 100), hidden: int = 64, block: i
 
 def linear_svm(grid: Sequence[float] = (0.01, 0.1), iterations: int = 50, parallelism: int = 4
                ) -> ModelSpec:
-    return ModelSpec("Linear SVM", lambda n, k: OneVsRest(
+    return ModelSpec("Linear SVM", lambda n, k: SharedOneVsRest(
         featuresCol=FEATURES, labelCol=LABEL, parallelism=parallelism,
         classifier=LinearSVC(featuresCol=FEATURES, labelCol=LABEL, maxIter=iterations)),
         {"regParam": grid}, nested=True)
