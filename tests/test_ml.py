@@ -156,7 +156,7 @@ def test_a_stored_model_and_its_reports(spark, separable, tmp_path):
 
 
 def test_svm_classes_share_passes(spark):
-    """All classes in common jobs, to an objective as low as that of MLlib's one against the rest."""
+    """All classes in common jobs, to the coefficients of MLlib's one against the rest."""
     import numpy as np
     from pyspark.ml.classification import OneVsRest
     from pyspark.ml.functions import array_to_vector
@@ -180,18 +180,10 @@ def test_svm_classes_share_passes(spark):
             spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     (made, jobs), (other, jobs_before) = fitted(shared, "svm-shared"), fitted(plain, "svm-plain")
     assert 0 < 2 * jobs < jobs_before
-    rows = df.collect()
-    x = np.array([r[training.FEATURES].toArray() for r in rows])
-    y = np.array([r[training.LABEL] for r in rows])
-
-    def objectives(model):
-        return np.array([np.maximum(0, 1 - np.where(y == k, 1, -1) * (
-            x @ m.coefficients.toArray() + m.intercept)).mean() + 0.05 * (
-                (m.coefficients.toArray() * x.std(axis=0, ddof=1)) ** 2).sum()
-            for k, m in enumerate(model.models)])
-    assert (objectives(made) <= objectives(other) + 0.005).all()
+    for ours, theirs in zip(made.models, other.models):
+        assert np.allclose(ours.coefficients.toArray(), theirs.coefficients.toArray(), rtol=0, atol=1e-6)
+        assert abs(ours.intercept - theirs.intercept) < 1e-6
     assert made.models[0].coefficients[4] == 0
-    right, before = (m.transform(df).filter(F.col("prediction") == F.col(training.LABEL)).count()
-                     for m in (made, other))
+    both = made.transform(df).select("prediction").collect(), other.transform(df).select("prediction").collect()
     df.unpersist()
-    assert right >= before - 12 and right > 300
+    assert both[0] == both[1]

@@ -62,9 +62,10 @@ def minimise(size: int, most: int, least: float) -> Steps:
         try:
             way = _direction(history, grad)
             orthant = np.where(x == 0, np.sign(-grad), np.sign(x))
-            length = 0.5 / np.linalg.norm(grad) if done < 1 else 1.0
             shrink, steep = (0.1 if done < 1 else 0.5), grad @ way
-            for tried in range(SEARCHES + 1):
+            # the search begins with the first length shortened, as MLlib's does
+            length = shrink * (0.5 / np.linalg.norm(grad) if done < 1 else 1.0)
+            for tried in range(1, SEARCHES + 1):
                 to = x + way * length
                 to = np.where(np.sign(to) == orthant, to, 0.0)
                 new_value, new_grad = yield to
