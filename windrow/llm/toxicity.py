@@ -275,7 +275,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         y.extend(seen["toxic"])
     scorer = Scorer(*learn_lexicon(parts[0].unionByName(parts[1])))
     if x:
-        scorer.coefficients = _logistic(np.stack(x), np.array(y, np.float64))
+        # in an order of their own: sums of the same rows are then the same to the last digit
+        x, y = np.stack(x), np.array(y, np.float64)
+        order = np.lexsort((y, *x.T))
+        scorer.coefficients = _logistic(x[order], y[order])
     return scorer
 
 
