@@ -398,6 +398,18 @@ def test_encoder_equals_its_library():
         assert mine.ids(t) == full.encode(t, add_special_tokens=False).ids, repr(t)
 
 
+def test_encoder_takes_whole_texts_and_long_blanks(monkeypatch):
+    mine = packing.Encoder(PATH)
+    for t in [" " * 1_000_000, "a" + "\n" * 1_000_000, "a b " * 10 + " \t" * 400_000 + "c"]:
+        assert mine.ids(t) == mine.full.encode(t, add_special_tokens=False).ids
+    calls, encode = [], mine.encode
+    monkeypatch.setattr(mine, "encode", lambda text: calls.append(text) or encode(text))
+    texts = ["one two  three", " four\nfive six "]
+    for t in texts:
+        assert mine.ids(t) == mine.full.encode(t, add_special_tokens=False).ids
+    assert calls == texts
+
+
 def edits(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):

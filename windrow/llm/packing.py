@@ -25,29 +25,23 @@ from windrow.session import durable
 WINDOW = 2048
 END = 1
 GROUP = 8192           # pieces packed together
-CACHED = 16 << 20      # bytes of chunks of text and ids that a worker remembers
-OVERHEAD = 180         # bytes of a remembered chunk besides
-_UNEVEN_SPACE = re.compile(r"\s | \s")
-_SINGLE_SPACE = re.compile(r"(?<=\S) (?=\S)")
+_LONG_BLANK = re.compile(r"\s{1000}")
 _ENCODERS: dict[str, Encoder] = {}
 
 
 class Encoder:
-    """Ids of the tokenizer file ``path``, equal to those of its library, remembering chunks.
+    """Ids of the tokenizer file ``path``, equal to those of its library.
 
-    Byte-level pre-tokens never reach over a single space between two other characters, so a text
-    is encoded chunk by chunk, each with the space before it. New chunks are encoded by the faster
-    library of the same vocabulary when its ranks lie beside the file. Texts that hold one of the
-    file's special tokens go through the file's own library whole.
+    Texts are encoded whole, by the faster library of the same vocabulary when its ranks lie beside
+    the file. Texts that hold one of the file's special tokens go through the file's own library, and
+    so do those with a long run of white space, on which the faster one's pattern runs out of stack.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.full = Tokenizer.from_file(path)
         self.special = [t.content for t in self.full.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes] = {}
-        self.held = 0
-        self.encode = lambda text: self.full.encode(text, add_special_tokens=False).ids
+        self.encode = self._slowly
         try:
             import public_tokenizers
             import tiktoken
@@ -59,28 +53,16 @@ class Encoder:
         except (ImportError, FileNotFoundError):
             pass
 
+    def _slowly(self, text: str) -> list[int]:
+        return self.full.encode(text, add_special_tokens=False).ids
+
     def ids(self, text: str) -> list[int]:
         return self.encoded(text).tolist()
 
     def encoded(self, text: str) -> np.ndarray:
         """The ids, as little-endian unsigned 32-bit numbers."""
-        if any(s in text for s in self.special):
-            return np.array(self.full.encode(text, add_special_tokens=False).ids, "<u4")
-        chunks = (_SINGLE_SPACE if _UNEVEN_SPACE.search(text) else " ")
-        chunks = text.split(" ") if chunks == " " else chunks.split(text)
-        known, out = self.known, [np.array(self.encode(chunks[0]), "<u4").tobytes()]
-        if self.held > CACHED:
-            known.clear()
-            self.held = 0
-        for chunk in chunks[1:]:
-            found = known.get(chunk)
-            if found is None:
-                found = np.array(self.encode(" " + chunk), "<u4").tobytes()
-                if len(chunk) + len(found) < 256:      # long chunks do not come again
-                    known[chunk] = found
-                    self.held += 4 * len(chunk) + len(found) + OVERHEAD
-            out.append(found)
-        return np.frombuffer(b"".join(out), "<u4")
+        slowly = any(s in text for s in self.special) or _LONG_BLANK.search(text)
+        return np.array((self._slowly if slowly else self.encode)(text), "<u4")
 
 
 def encoder(path: str) -> Encoder:
