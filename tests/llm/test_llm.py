@@ -398,6 +398,44 @@ def test_encoder_equals_its_library():
         assert mine.ids(t) == full.encode(t, add_special_tokens=False).ids, repr(t)
 
 
+def test_sets_alone_in_their_regions_stay_out_of_the_forest(spark, monkeypatch):
+    rng = random.Random(8)
+    texts = [" ".join(f"w{rng.randrange(5000)}" for _ in range(60)) for _ in range(400)]
+    copies = [t + " tail" for t in texts[:20]]
+    docs = spark.createDataFrame(list(enumerate(texts + copies)), "doc_id bigint, text string")
+    seen, candidates = [], minhash.candidates
+
+    def watched(sets, *args):
+        seen.append(sets.count())
+        return candidates(sets, *args)
+    monkeypatch.setattr(minhash, "candidates", watched)
+    got = minhash.near_duplicates(docs, width=2).collect()
+    assert {r["id"]: r["component_id"] for r in got} == {
+        i: i - 400 if i >= 400 else i for i in range(420)}
+    # besides, a row or two at each border of a partition
+    assert seen and all(40 <= n < 120 for n in seen)
+
+
+def test_companions_are_all_that_share_a_region(spark):
+    rng, trees = random.Random(9), 3
+    width = 2 * minhash.DEPTH
+    head = 2 * minhash.SHALLOWEST
+    heads = [rng.randbytes(head) for _ in range(40)]
+    rows = [(f"{i:016d}".encode(), b"".join(
+        (rng.choice(heads) if rng.random() < 0.3 else rng.randbytes(head))
+        + rng.randbytes(width - head) for _ in range(trees))) for i in range(500)]
+    got = {bytes(r["class"]): set(r["trees"]) for r in minhash.companions(
+        spark.createDataFrame(rows, "class binary, keys binary"), trees).collect()}
+    places = [(t, keys[t * width:t * width + head]) for _, keys in rows for t in range(trees)]
+    count = {p: places.count(p) for p in set(places)}
+    extra = 0
+    for kind, keys in rows:
+        wanted = {t for t in range(trees) if count[t, keys[t * width:t * width + head]] > 1}
+        assert wanted <= got.get(kind, set())
+        extra += len(got.get(kind, set()) - wanted)
+    assert extra <= 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def test_encoder_takes_whole_texts_and_long_blanks(monkeypatch):
     mine = packing.Encoder(PATH)
     for t in [" " * 1_000_000, "a" + "\n" * 1_000_000, "a b " * 10 + " \t" * 400_000 + "c"]:

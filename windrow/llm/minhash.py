@@ -6,13 +6,14 @@ the sorted order a set is compared with its next neighbours only, which share th
 A region with few sets is thus compared at the shallow depth and a crowded one at a greater depth,
 whatever its size, and the work is linear.
 
-Equal sets are one class, found by a hash of the set, and only classes go into the forest. Links
-are confirmed on full sets in two rounds. The first confirms the nearest neighbours. The second
+Equal sets are one class, found by a hash of the set, and only classes go into the forest. Most
+regions (tree and leading hashes) hold one set alone. Those are found first, on rows of two numbers,
+and only what is left goes through the forest with its keys and sketches. Links are confirmed on full sets in two rounds. The first confirms the nearest neighbours. The second
 goes through the forest again, where every set carries the component it is in so far, and looks for
 the nearest sets of other components: a link inside a component cannot change the components, so
 leaving it out loses nothing, and crowded regions get further than their own group.
 
-The second round also notes every region (tree and leading hashes) in which it could not compare
+The second round also notes every region in which it could not compare
 all sets of different components. A third round compares all of them there, in blocks of bounded
 size. So every two sets of different components that share the leading hashes of some tree have
 been compared, however crowded the region.
@@ -130,9 +131,48 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, width: int, trees: i
                      "bigint, size bigint, class binary, keys binary, sketch binary")
 
 
-def forest(sets: DataFrame, trees: int) -> DataFrame:
-    """(tree, key, class, size, sketch, root) for every set and tree."""
-    split = F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.struct(
+def companions(classes: DataFrame, trees: int) -> DataFrame:
+    """The rows of ``classes`` that share a region with another, and ``trees``, those it is in.
+
+    A row goes to its regions as two hashes, in the order of the regions, where a region that goes on
+    has equal neighbours. What stands at a border of a partition is taken to share one, and hashes
+    that are equal by chance only add trees: no shared region is left out, and the comparisons
+    that follow decide.
+    """
+    rows = classes.withColumn("no", F.xxhash64("class"))
+    # the tree is the remainder; 54 bits of hash leave room for it
+    region = F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.shiftright(
+        F.xxhash64(t, F.substring(F.col("keys"), t * (2 * DEPTH) + 1, F.lit(2 * SHALLOWEST))), 10)
+        * trees + t)
+
+    def shared(batches):
+        last, own, sure = np.zeros(0, np.int64), np.zeros(0, np.int64), True
+        for batch in batches:
+            at, no = (np.concatenate([held, batch.column(c).to_numpy()])
+                      for c, held in enumerate((last, own)))
+            if not len(at):
+                continue
+            keep, same = np.zeros(len(at), bool), at[1:] == at[:-1]
+            keep[0] = sure
+            keep[1:] |= same
+            keep[:-1] |= same
+            last, own, sure = at[-1:], no[-1:], keep[-1]      # the next batch may go on with it
+            yield made(at[:-1][keep[:-1]], no[:-1][keep[:-1]])
+        yield made(last, own)
+
+    def made(at, no):
+        return pa.RecordBatch.from_arrays([pa.array(no), pa.array(at % trees, pa.int32())],
+                                          ["no", "tree"])
+    found = (rows.select(F.explode(region).alias("region"), "no")
+             .repartitionByRange("region", "no").sortWithinPartitions("region")
+             .mapInArrow(shared, "no bigint, tree int")
+             .groupBy("no").agg(F.collect_set("tree").alias("trees")))
+    return attach(rows, durable(found), ["no"], "inner", ["class"]).drop("no")
+
+
+def forest(sets: DataFrame) -> DataFrame:
+    """(tree, key, class, size, sketch, root) for every set and each of its ``trees``."""
+    split = F.transform("trees", lambda t: F.struct(
         t.alias("tree"), F.substring(F.col("keys"), t * (2 * DEPTH) + 1,
                                      F.lit(2 * DEPTH)).alias("key")))
     return (sets.select("class", F.col("size").cast("int").alias("size"), "sketch", "root",
@@ -208,7 +248,7 @@ def candidates(sets: DataFrame, percent: int, trees: int, most: int) -> DataFram
                            [None] * len(left) + [r[0] for r in noted])
         if region is not None:
             yield made([region[1]], [None], [region[0]])
-    return (forest(sets, trees).repartitionByRange("tree", "key", "class")
+    return (forest(sets).repartitionByRange("tree", "key", "class")
             .sortWithinPartitions("tree", "key", "class")
             .mapInArrow(neighbours, "a binary, b binary, tree int").distinct())
 
@@ -224,7 +264,7 @@ def crowded_pairs(sets: DataFrame, regions: DataFrame, percent: int, trees: int)
     pieces are one block of bounded size, so a crowded region is spread over many tasks.
     """
     apart = _apart(percent, trees)
-    rows = forest(sets, trees).withColumn("region", F.substring("key", 1, 2 * SHALLOWEST)).drop("key")
+    rows = forest(sets).withColumn("region", F.substring("key", 1, 2 * SHALLOWEST)).drop("key")
     on = ["tree", "region"]
     n = attach(rows.select(*on, "class", "root"), regions.withColumn("noted", F.lit(True)), on,
                spread=["class"]).filter("noted").groupBy(*on).agg(
@@ -345,7 +385,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.min("text_hash").alias("text_hash"),
         # equal sets have equal keys and sketches
         *[F.first(c).alias(c) for c in ("size", "keys", "sketch")]))
-    keyed = classes.select("class", "text_hash", "keys", "sketch", "size")
+    keyed = durable(companions(classes.select("class", "keys", "sketch", "size"), trees))
 
     def found(sets: DataFrame, most: int) -> DataFrame:
         return candidates(sets, percent, trees, most)
@@ -353,7 +393,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     def linked(pairs: DataFrame) -> DataFrame:
         ends = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
         wanted = durable(classes.join(ends, "class", "left_semi").select("text_hash").distinct())
-        return confirmed(pairs, durable(full_sets(docs, text_col, wanted, width)), percent)
+        # not made durable: both joins of the pairs read the one exchange that gathers the sets
+        return confirmed(pairs, full_sets(docs, text_col, wanted, width), percent)
 
     def rooted(roots: DataFrame) -> DataFrame:
         return keyed.join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn(
